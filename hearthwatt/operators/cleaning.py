@@ -114,7 +114,7 @@ def quality_report(
 ) -> DataFrame:
     """One row of counts, from one scan: what is wrong with the raw readings."""
     df = with_timestamp(rename_readings(raw), date_formats)
-    energy = F.col("energy_consumption")
+    energy = F.col("energy_consumption").try_cast("double")
     any_null = reduce(or_, (F.col(name).isNull() for name in READING_NAMES.values()))
     return df.agg(
         F.count(F.lit(1)).alias("rows_in"),

@@ -156,16 +156,16 @@ def featured_series(
     return featured if required is None else featured.dropna(subset=list(required))
 
 
-def stage_counts(raw: DataFrame, readings: DataFrame, by: str = "rows") -> DataFrame:
-    """Rows after each stage of the forecast: in, with timestamp, hourly, featured.
+def stage_counts(
+    raw: DataFrame, featured: DataFrame, required: Sequence[str] = REQUIRED
+) -> DataFrame:
+    """Rows after each stage: in, with timestamp, hourly, with all required features.
 
-    The last three come from one pass: the rollup counts the readings it merged and
-    the featured rows are told apart by a condition rather than by a second filter.
+    ``featured`` keeps every hour (``required=None``) and the ``readings`` it merged,
+    so the last three counts are one pass over it.
     """
-    hourly = hourly_rollup(readings, count_as="readings")
-    featured = featured_series(hourly, by=by, required=None)
     usable = F.lit(True)
-    for name in REQUIRED:
+    for name in required:
         usable = usable & F.col(name).isNotNull()
     rows_in = raw.agg(F.count(F.lit(1)).alias("rows")).scalar()
     return featured.agg(

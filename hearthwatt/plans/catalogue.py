@@ -149,7 +149,9 @@ def quality_report(spark: SparkSession, d: str) -> DataFrame:
 
 def stage_counts(spark: SparkSession, d: str) -> DataFrame:
     raw = raw_readings(spark, d)
-    return op.stage_counts(raw, op.timestamped_readings(raw, BOTH_DATE_FORMATS))
+    readings_ts = op.timestamped_readings(raw, BOTH_DATE_FORMATS)
+    series = op.hourly_rollup(readings_ts, count_as="readings")
+    return op.stage_counts(raw, op.featured_series(series, required=None))
 
 
 def filter_parsed_ts(spark: SparkSession, d: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parsing import ISO_DATE
@@ -24,12 +24,13 @@ from ..operators import (
     save_model,
     split_by_time,
     spread,
+    stage_counts,
     timestamped_readings,
 )
 from ..operators.modelling import FORECAST_SETTINGS
 from ..operators.series import FEATURES, LABEL
 from ..schema import METRICS_SUMMARY
-from ..sources import literal_rows, read_parquet, write_parquet, write_single_csv
+from ..sources import read_parquet, write_parquet, write_single_csv
 
 
 def run_forecast(
@@ -44,27 +45,21 @@ def run_forecast(
 ) -> str:
     """Runs the whole forecast and returns the name of the chosen model.
 
-    The features are written once; bounds, fits and scoring read that table, so raw
-    readings are scanned a single time. Counts for the quality table are observed
-    during the same write. ``include_current=True`` lets the rolling features see the
-    hour to be forecast; it is off, and the metrics table says which was used.
+    The featured hourly table is written once; counts, bounds, fits and scoring read
+    it, so raw readings are scanned a single time. It keeps the hours that lack a
+    feature and the number of readings per hour, from which the rows after each stage
+    are counted. ``include_current=True`` lets the rolling features see the hour to be
+    forecast; it is off, and the metrics table says which was used.
     """
-    source_rows = read_parquet(spark, source)
-    seen = {name: Observation(name) for name in ("rows_in", "rows_parsed", "rows_hourly", "rows_featured")}
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.observe(seen[name], F.count(F.lit(1)).alias("rows"))
-
-    readings = counted(
-        timestamped_readings(counted(source_rows, "rows_in"), date_formats), "rows_parsed"
-    )
-    hourly = counted(hourly_rollup(readings), "rows_hourly")
-    featured = featured_series(hourly, by, include_current, required=(LABEL, *FEATURES))
-    write_parquet(counted(featured, "rows_featured"), f"{output}/features")
-    counts = [(name, int(observed.get["rows"])) for name, observed in seen.items()]
-    write_parquet(literal_rows(spark, counts, "stage string, rows bigint"), f"{output}/quality")
-
-    series = split_by_time(read_parquet(spark, f"{output}/features", featured.schema))
+    raw = read_parquet(spark, source)
+    hourly = hourly_rollup(timestamped_readings(raw, date_formats), count_as="readings")
+    featured = featured_series(hourly, by, include_current, required=None)
+    write_parquet(featured, f"{output}/features")
+    stored = read_parquet(spark, f"{output}/features", featured.schema)
+    required = (LABEL, *FEATURES)
+    write_parquet(stage_counts(raw, stored, required), f"{output}/quality")
+
+    series = split_by_time(stored.dropna(subset=list(required)))
     train = spread(series.filter("split = 'train'"), ["home_id", "ts"])
     fitted = fit_forecast(train, settings, parallelism=parallelism)
 

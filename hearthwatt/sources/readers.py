@@ -36,7 +36,7 @@ def read_parquet(
 
 
 def literal_rows(
-    spark: SparkSession, rows: Iterable[tuple], schema: T.StructType
+    spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str
 ) -> DataFrame:
     """A few hand-given rows (scenarios, metrics) with explicit types."""
     return spark.createDataFrame(list(rows), schema)
