@@ -47,6 +47,6 @@ from .series import (
     with_lags,
     with_rolling,
 )
-from .splitting import hash_sample, hash_split, split_by_time, split_sizes, time_bounds
+from .splitting import hash_sample, hash_split, split_by_time, split_sizes, time_bounds, time_limits
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import epoch_seconds, in_first_share
@@ -43,27 +43,41 @@ def time_bounds(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 
 
-def split_by_time(
+def time_limits(
     df: DataFrame, cuts: tuple[float, float] = (0.8, 0.9), ts: str = "ts"
 ) -> DataFrame:
-    """Adds ``split``: ``train``, ``val`` or ``test`` by position in the time range.
+    """Last second of the training and of the validation part, in one row.
 
-    ``cuts`` are shares of the range between the first and last timestamp; a row on a
-    cut belongs to the earlier part. The cuts are computed by Spark, in the same
-    clock as the rows, and reach them as a one-row scalar subquery.
+    ``cuts`` are shares of the range between the first and last timestamp.
     """
     seconds = epoch_seconds(F.col(ts))
     bounds = df.agg(F.min(seconds).alias("first"), F.max(seconds).alias("last"))
     first, last = F.col("first"), F.col("last")
     train_end, val_end = (F.floor(first + (last - first) * F.lit(cut)) for cut in cuts)
-    limits = bounds.select(
-        F.struct(train_end.alias("train_end"), val_end.alias("val_end")).alias("limits")
-    ).scalar()
+    return bounds.select(train_end.alias("train_end"), val_end.alias("val_end"))
+
+
+def split_by_time(
+    df: DataFrame,
+    cuts: tuple[float, float] = (0.8, 0.9),
+    ts: str = "ts",
+    limits: Mapping[str, int] | Row | None = None,
+) -> DataFrame:
+    """Adds ``split``: ``train``, ``val`` or ``test`` by position in the time range.
+
+    A row on a cut belongs to the earlier part. The limits are computed by Spark, in
+    the same clock as the rows, and reach them as a one-row scalar subquery. Where
+    many actions follow, pass the row of ``time_limits`` to compute them only once.
+    """
+    seconds = epoch_seconds(F.col(ts))
+    if limits is None:
+        ends = time_limits(df, cuts, ts).select(F.struct("train_end", "val_end").alias("ends")).scalar()
+        train_end, val_end = ends["train_end"], ends["val_end"]
+    else:
+        train_end, val_end = F.lit(limits["train_end"]), F.lit(limits["val_end"])
     return df.withColumn(
         "split",
-        F.when(seconds <= limits["train_end"], "train")
-        .when(seconds <= limits["val_end"], "val")
-        .otherwise("test"),
+        F.when(seconds <= train_end, "train").when(seconds <= val_end, "val").otherwise("test"),
     )
 
 

@@ -25,6 +25,7 @@ from ..operators import (
     split_by_time,
     spread,
     stage_counts,
+    time_limits,
     timestamped_readings,
 )
 from ..operators.modelling import FORECAST_SETTINGS
@@ -59,7 +60,8 @@ def run_forecast(
     required = (LABEL, *FEATURES)
     write_parquet(stage_counts(raw, stored, required), f"{output}/quality")
 
-    series = split_by_time(stored.dropna(subset=list(required)))
+    usable = stored.dropna(subset=list(required))
+    series = split_by_time(usable, limits=time_limits(usable).first())
     train = spread(series.filter("split = 'train'"), ["home_id", "ts"])
     fitted = fit_forecast(train, settings, parallelism=parallelism)
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import series
-from hearthwatt.operators import hash_sample, hash_split, split_by_time, split_sizes, time_bounds
+from hearthwatt.operators import hash_sample, hash_split, split_by_time, split_sizes, time_bounds, time_limits
 
 
 def test_split_by_time_cuts(spark):
@@ -12,6 +12,12 @@ def test_split_by_time_cuts(spark):
     assert sizes == {"train": 81, "val": 10, "test": 10}
 
 
+def test_limits_computed_beforehand_give_the_same_split(spark):
+    df = series(spark, {1: [(h, 1.0) for h in range(101)], 2: [(h, 1.0) for h in range(40, 77)]})
+    limits = time_limits(df, (0.5, 0.7)).first()
+    assert split_by_time(df, (0.5, 0.7)).exceptAll(split_by_time(df, limits=limits)).isEmpty()
+
+
 def test_split_by_time_of_one_moment(spark):
     df = series(spark, {1: [(0, 1.0)], 2: [(0, 2.0)]})
     assert {r["split"] for r in split_by_time(df).collect()} == {"train"}
