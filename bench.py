@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -78,8 +77,6 @@ def household_training_rows(spark: SparkSession) -> DataFrame:
 
 def main() -> None:
     spark = session()
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hearthwatt-bench-"))
     times = {
         name: min(seconds(lambda: discard(QUERIES[name](spark, SF_DIR))) for _ in range(3))
         for name in RELATIONAL

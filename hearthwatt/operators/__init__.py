@@ -12,7 +12,7 @@ from .cleaning import (
     with_timestamp,
 )
 from .comparing import compare_to_average
-from .metrics import best_model, metric_suite, metric_table
+from .metrics import best_model, best_model_name, metric_suite, metric_table
 from .modelling import (
     FittedModels,
     fit_forecast,

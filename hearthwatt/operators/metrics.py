@@ -71,3 +71,11 @@ def best_model(table: DataFrame, metric: str = "rmse", largest: bool = False) ->
     """The row with the best metric; names decide between equals."""
     order = F.desc_nulls_last(metric) if largest else F.asc_nulls_last(metric)
     return table.orderBy(order, "model").limit(1)
+
+
+def best_model_name(table: DataFrame, metric: str = "rmse", largest: bool = False) -> str:
+    """Name of the best model; one row comes to the driver."""
+    row = best_model(table, metric, largest).first()
+    if row is None:
+        raise ValueError("no rows to choose a model by: the series is too short or has too many gaps")
+    return row["model"]

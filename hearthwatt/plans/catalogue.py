@@ -370,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_readings_strict": lambda s, d: op.clean_readings(
         twice(raw_readings(s, d)), require_calendar=True
     ),
+    "clean_by_hour": lambda s, d: rounded(op.by_hour(op.clean_readings(raw_readings(s, d)))),
     # samples and splits
     "sample_hash": lambda s, d: op.hash_sample(events(s, d), ["event_id"], 0.1).select(
         "event_id", "value"

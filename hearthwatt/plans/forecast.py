@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import ISO_DATE
 from ..operators import (
-    best_model,
+    best_model_name,
     featured_series,
     fit_forecast,
     hourly_rollup,
@@ -76,7 +76,7 @@ def run_forecast(
     )
     write_parquet(metrics, f"{output}/metrics")
     metrics = read_parquet(spark, f"{output}/metrics", metrics.schema)
-    best = best_model(metrics.filter("split = 'val'"), "rmse").first()["model"]
+    best = best_model_name(metrics.filter("split = 'val'"), "rmse")
 
     write_single_csv(metrics_summary(metrics, best), f"{output}/metrics_summary")
     save_model(fitted.pipeline(best), f"{output}/models/{best}")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     average_by,
-    best_model,
+    best_model_name,
     by_date_hour,
     clean_readings,
     correlation,
@@ -108,7 +108,7 @@ def train_models(
     for name in fitted.regressors:
         save_model(fitted.pipeline(name), f"{output}/models/{name}")
     stored_metrics = read_parquet(spark, f"{output}/metrics", metrics.schema)
-    return best_model(stored_metrics, "r2", largest=True).first()["model"]
+    return best_model_name(stored_metrics, "r2", largest=True)
 
 
 def score_file(

@@ -193,6 +193,7 @@ ORACLES: dict[str, str] = {
     "dedup_rows": f"WITH {_RAW} SELECT DISTINCT * FROM (SELECT * FROM raw UNION ALL SELECT * FROM raw)",
     "clean_readings": f"WITH {_CLEAN} SELECT * FROM clean",
     "clean_readings_strict": f"WITH {_CLEAN} SELECT * FROM clean WHERE hour IS NOT NULL AND date_parsed IS NOT NULL",
+    "clean_by_hour": f"WITH {_CLEAN} SELECT hour, {_MEAN} FROM clean GROUP BY 1",
     # samples and splits
     "sample_hash": f"SELECT event_id, value FROM events WHERE {_below('1999999a')}",
     "scatter_feed": f"""WITH {_PLAUSIBLE} SELECT outdoor_temperature, hour, energy_consumption

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,5 +49,10 @@ def _shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hearthwatt-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    """For local runs only, where one machine is the whole cluster."""
+    return tempfile.mkdtemp(prefix="hearthwatt-")

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 
-from hearthwatt.operators import best_model, metric_suite, metric_table
+from hearthwatt.operators import best_model, best_model_name, metric_suite, metric_table
 
 
 @pytest.fixture()
@@ -48,3 +48,6 @@ def test_best_model(spark):
     )
     assert best_model(table, "rmse").first()["model"] == "a"
     assert best_model(table, "r2", largest=True).first()["model"] == "b"
+    assert best_model_name(table) == "a"
+    with pytest.raises(ValueError):
+        best_model_name(table.limit(0))
