@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -50,6 +51,8 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # As on a cluster: long boosting runs cut their lineage here.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hearthwatt-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
