@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hearthwatt.llm.bpe import bpe_digests
+from hearthwatt.llm.linededup import dedup_lines
 from hearthwatt.llm.packing import pack_documents
+from hearthwatt.llm.simhash import simhash_components
+from hearthwatt.llm.warc import warc_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,9 +32,85 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), CODEC_RANKS)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_revisits(table(spark, sf_dir, "pages"))
+
+
+def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "lines", "lines_removed")
+
+
 QUERIES: dict[str, Query] = {
     "op2_best_two_fit": op2_best_two_fit,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_simhash": op5_simhash,
+    "op8_warc_revisits": op8_warc_revisits,
+    "op9_line_windows": op9_line_windows,
 }
 
-ORACLES: dict[str, str] = {}
+#: Line dedup, also used by the SQL of the pipeline: {source} is a table of documents.
+LINE_WINDOWS_SQL = """
+lined AS (
+    SELECT doc_id, string_split(text, chr(10)) AS lines FROM {source}
+),
+windows AS (
+    SELECT doc_id, place,
+        lines[place + 1] || chr(10) || lines[place + 2] || chr(10) || lines[place + 3] AS passage
+    FROM (SELECT doc_id, lines, unnest(range(0, len(lines) - 2)) AS place FROM lined WHERE len(lines) >= 3)
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, place) AS occurrence
+    FROM windows WHERE length(trim(replace(passage, chr(10), ''))) > 0
+),
+covered AS (
+    SELECT DISTINCT doc_id, place + k AS place
+    FROM numbered, (SELECT unnest([0, 1, 2]) AS k) WHERE occurrence > 1
+),
+removed AS (
+    SELECT doc_id, list(place) AS places FROM covered GROUP BY doc_id
+),
+deduped AS (
+    SELECT l.doc_id,
+        array_to_string(list_transform(
+            list_filter(range(0, len(lines)), lambda i: places IS NULL OR NOT list_contains(places, i)),
+            lambda i: lines[i + 1]), chr(10)) AS text,
+        CAST(coalesce(len(lines), 0) AS INTEGER) AS lines,
+        CAST(coalesce(len(places), 0) AS INTEGER) AS lines_removed
+    FROM lined l LEFT JOIN removed r ON l.doc_id = r.doc_id
+)
+"""
+
+WARC_SQL = """
+WITH captured AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+),
+resolved AS (
+    SELECT page_id, payload, max(page_id) OVER (PARTITION BY payload) AS original FROM captured
+),
+hashed AS (
+    SELECT *, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS hex FROM resolved
+),
+digits AS (
+    SELECT *, list_transform(range(0, 32), lambda i:
+        list_reduce(list_transform(range(0, 5), lambda b:
+            (strpos('0123456789abcdef', hex[CAST((i * 5 + b) // 4 + 1 AS BIGINT)]) - 1)
+                // CAST(2 ** (3 - (i * 5 + b) % 4) AS BIGINT) % 2), lambda x, y: x * 2 + y)) AS fives
+    FROM hashed
+)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(fives, lambda d:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(d + 1 AS BIGINT), 1)), '') AS payload_digest,
+    CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> original THEN original END AS refers_to
+FROM digits
+"""
+
+ORACLES: dict[str, str] = {
+    "op8_warc_revisits": WARC_SQL,
+    "op9_line_windows": "WITH " + LINE_WINDOWS_SQL.format(source="documents") + "SELECT * FROM deduped",
+}
