@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearthwatt.llm.bpe import bpe_digests
 from hearthwatt.llm.linededup import dedup_lines
 from hearthwatt.llm.packing import pack_documents
+from hearthwatt.llm.quality import score_quality
 from hearthwatt.llm.simhash import simhash_components
+from hearthwatt.llm.toxicity import score_toxicity, train_toxicity
 from hearthwatt.llm.warc import warc_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +31,12 @@ def op2_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), PACKING_RANKS, capacity=2048)
 
 
+def op3_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = train_toxicity(documents, table(spark, sf_dir, "labels"))
+    return score_toxicity(documents, model)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), CODEC_RANKS)
 
@@ -36,6 +45,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's source stands for its host, its language for the path on it."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_quality(documents, labels, lambda: F.col("source"), lambda: F.col("lang"))
+
+
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_revisits(table(spark, sf_dir, "pages"))
 
@@ -47,8 +62,10 @@ def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_best_two_fit": op2_best_two_fit,
+    "op3_toxic_segments": op3_toxic_segments,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_simhash": op5_simhash,
+    "op7_site_quality": op7_site_quality,
     "op8_warc_revisits": op8_warc_revisits,
     "op9_line_windows": op9_line_windows,
 }
