@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthwatt.llm.bpe import bpe_digests
+from hearthwatt.llm.fingerprint import fingerprints_with_edits
+from hearthwatt.llm.htmltext import extract_text
 from hearthwatt.llm.linededup import dedup_lines
 from hearthwatt.llm.packing import pack_documents
 from hearthwatt.llm.quality import score_quality
@@ -27,6 +29,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op2_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), PACKING_RANKS, capacity=2048)
 
@@ -60,7 +66,12 @@ def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "lines", "lines_removed")
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_closed_syncmers": op1_closed_syncmers,
     "op2_best_two_fit": op2_best_two_fit,
     "op3_toxic_segments": op3_toxic_segments,
     "op4_byte_bpe": op4_byte_bpe,
@@ -68,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op7_site_quality": op7_site_quality,
     "op8_warc_revisits": op8_warc_revisits,
     "op9_line_windows": op9_line_windows,
+    "op10_main_text": op10_main_text,
 }
 
 #: Line dedup, also used by the SQL of the pipeline: {source} is a table of documents.
