@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from hearthwatt.llm.frames import find_package, map_rows, stored, text_or_empty
 from hearthwatt.llm.labelled import bounded_sample, held_out, training_labels
@@ -110,6 +112,9 @@ def _token_counts(documents: DataFrame) -> DataFrame:
     """Weighted numbers of toxic and of all documents for each token; summed within a task
     before the shuffle, in parts of bounded size."""
 
+    schema = "token string, toxic double, n double"
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, every = Counter(), Counter()
         for batch in batches:
@@ -125,11 +130,12 @@ def _token_counts(documents: DataFrame) -> DataFrame:
 
     def part(toxic: Counter, every: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(
-            {"token": list(every), "toxic": [float(toxic[w]) for w in every], "n": [float(n) for n in every.values()]}
+            {"token": list(every), "toxic": [float(toxic[w]) for w in every], "n": [float(n) for n in every.values()]},
+            schema=target,
         )
 
     find_package(documents.sparkSession)
-    parts = documents.select("text", "label").mapInArrow(count, "token string, toxic double, n double")
+    parts = documents.select("text", "label").mapInArrow(count, schema)
     return parts.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
 
 
