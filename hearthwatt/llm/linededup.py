@@ -9,31 +9,36 @@ from pyspark.sql import functions as F
 WINDOW = 3
 
 
-def _keys(lines: Column, size: int) -> Column:
-    """For each place a window begins at, its position and 128 bits of its lines' hashes."""
-    places = F.sequence(F.lit(0), F.size(lines) - size)
-    hashed = F.transform(
-        places,
-        lambda i: F.struct(
-            i.alias("place"),
-            F.xxhash64(*[F.get(lines, i + k) for k in range(size)]).alias("one"),
-            F.xxhash64(F.lit(size), *[F.get(lines, i + k) for k in reversed(range(size))]).alias("two"),
-            (F.length(F.trim(F.concat(*[F.get(lines, i + k) for k in range(size)]))) > 0).alias("filled"),
-        ),
-    )
-    return F.when(F.size(lines) >= size, F.filter(hashed, lambda w: w["filled"]))
-
-
 def line_windows(
     df: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Every window of ``size`` lines: its document, place and key. Windows of blank lines and
-    documents of fewer lines have none."""
-    cut = df.select(
-        F.col(id_col).alias("doc"),
-        F.xxhash64(text_col).alias("copy"),
-        F.explode(_keys(F.split(text_col, "\n", -1), size)).alias("window"),
+    """Every window of ``size`` lines: its document, place and 128-bit key. Windows of blank
+    lines and documents of fewer lines have none.
+
+    Each line is split off and hashed once; windows hash the hashes. The steps are separate
+    columns, as a function inside a lambda would be computed anew for each of its elements.
+    """
+    lines = F.transform(
+        F.split(text_col, "\n", -1),
+        lambda x: F.struct(
+            F.xxhash64(x).alias("one"), F.xxhash64(F.lit(size), x).alias("two"), (F.trim(x) != "").alias("filled")
+        ),
     )
+    hashed = df.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("copy"), lines.alias("lines"))
+
+    def window(i: Column) -> Column:
+        those = [F.get("lines", i + k) for k in range(size)]
+        return F.struct(
+            i.alias("place"),
+            F.xxhash64(*[line["one"] for line in those]).alias("one"),
+            F.xxhash64(*[line["two"] for line in those]).alias("two"),
+            F.greatest(*[line["filled"] for line in those]).alias("filled"),
+        )
+
+    places = F.sequence(F.lit(0), F.size("lines") - size)
+    found = F.when(F.size("lines") >= size, F.transform(places, window))
+    # The outer form, as the plain one has Spark compute all windows twice, to see if there are any.
+    cut = hashed.select("doc", "copy", F.explode_outer(found).alias("window")).where("window.filled")
     return cut.select("doc", "copy", "window.place", "window.one", "window.two")
 
 
@@ -64,17 +69,16 @@ def dedup_lines(
         F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), F.col("places").alias("__places")
     )
     same = F.col(id_col).eqNullSafe(F.col("__doc")) & (F.xxhash64(text_col) == F.col("__copy"))
-    lines = F.split(F.col(text_col), "\n", -1)
+    lines = F.col("__lines")
     steps = F.array(*[F.lit(k) for k in range(size)])
     covered = F.array_distinct(F.flatten(F.transform("__places", lambda p: F.transform(steps, lambda k: p + k))))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
-    joined = df.join(found, same, "left")
+    joined = df.join(found, same, "left").withColumn("__lines", F.split(F.col(text_col), "\n", -1))
     text = F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     )
     counted = {
         "lines": F.coalesce(F.when(F.col(text_col).isNotNull(), F.size(lines)), F.lit(0)),
-        "lines_removed": F.coalesce(F.size(covered), F.lit(0)),
+        "lines_removed": F.when(F.col("__places").isNull(), 0).otherwise(F.size(covered)),
     }
-    counted["lines_removed"] = F.when(F.col("__places").isNull(), 0).otherwise(F.size(covered))
-    return joined.withColumns(counted | {text_col: text}).drop("__doc", "__copy", "__places")
+    return joined.withColumns(counted | {text_col: text}).drop("__doc", "__copy", "__places", "__lines")
