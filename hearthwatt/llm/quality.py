@@ -149,8 +149,9 @@ def score_quality(
     path: Callable[[], Column],
     id_col: str = "doc_id",
     text_col: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``df``: ``held_out``, ``evidence``, ``host_posterior``,
+    """One row per row of ``df``: the ``keep`` columns, ``held_out``, ``evidence``, ``host_posterior``,
     ``path_posterior``, ``score`` (of being good) and ``keep`` (a score of one half or more).
 
     Held-out labels are never used; the other ones count in their sites in place of what the
@@ -158,17 +159,18 @@ def score_quality(
     their own. Rows that repeat, or share an id, are documents each; they take the label of
     their id. An empty table gives no rows.
     """
+    names = list(dict.fromkeys([id_col, *keep]))
     placed = df.select(
-        id_col,
+        *names,
         F.coalesce(host().cast("string"), F.lit("")).alias("host"),
         F.coalesce(path().cast("string"), F.lit("")).alias("path"),
         text_or_empty(text_col),
     )
-    bins = stored(measured(placed, [id_col, "host", "path"], text_col), "bins")
+    bins = stored(measured(placed, [*names, "host", "path"], text_col), "bins")
     model = train_quality(bins, labels, id_col=id_col)
     known = training_labels(labels, "quality", id_col)
     own = model.evidence()
-    judged = bins.select(id_col, "host", "path", own.alias("evidence")).join(known, id_col, "left")
+    judged = bins.select(*names, "host", "path", own.alias("evidence")).join(known, id_col, "left")
     prior = math.log(model.share / (1 - model.share))
     judged = judged.withColumn("good", F.coalesce("label", 1 / (1 + F.exp(-(F.col("evidence") + prior)))))
     judged = stored(judged.drop("label"), "judged")
@@ -191,7 +193,7 @@ def score_quality(
     scored = judged.join(sites, ["host", "path"]).withColumn("path_posterior", bounded)
     score = 1 / (1 + F.exp(-(F.col("evidence") + _logit(F.col("path_posterior")))))
     return scored.select(
-        id_col,
+        *names,
         held_out(id_col).alias("held_out"),
         "evidence",
         "host_posterior",

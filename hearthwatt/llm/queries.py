@@ -12,6 +12,7 @@ from hearthwatt.llm.bpe import bpe_digests
 from hearthwatt.llm.fingerprint import fingerprints_with_edits
 from hearthwatt.llm.htmltext import extract_text
 from hearthwatt.llm.linededup import dedup_lines
+from hearthwatt.llm.neighbours import nearest
 from hearthwatt.llm.packing import pack_documents
 from hearthwatt.llm.quality import score_quality
 from hearthwatt.llm.simhash import simhash_components
@@ -51,6 +52,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), top=20, every=20)
+
+
 def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's source stands for its host, its language for the path on it."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op3_toxic_segments": op3_toxic_segments,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_simhash": op5_simhash,
+    "op6_nn_descent": op6_nn_descent,
     "op7_site_quality": op7_site_quality,
     "op8_warc_revisits": op8_warc_revisits,
     "op9_line_windows": op9_line_windows,

@@ -120,3 +120,119 @@ def simhash_components(
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+#: For near-duplicates by similarity: hash seeds, of 64 fingerprint bits each.
+SIMILAR_SEEDS = (42, 43)
+SIMILAR_BITS = 64 * len(SIMILAR_SEEDS)
+#: Bits of a segment: so many more than the binary logarithm of the number of texts, and 24 at
+#: least. Buckets then stay small as a corpus grows.
+SEGMENT_MARGIN, LEAST_SEGMENT = 6, 24
+#: Complete distance up to which a pair is compared in full. Texts with four fifths of their
+#: five-word shingles in common differ in 15 bits on average, with a deviation of under 4.
+SIMILAR_DISTANCE = 28
+#: Words of a shingle, and the share of common shingles of near-duplicates.
+SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
+#: Times that texts which met others, but found no partner, choose again.
+SIMILAR_ROUNDS = 3
+
+
+def similarity(one: str, other: str, size: int = SIMILAR_SHINGLE) -> float:
+    """The Jaccard similarity of two texts' sets of shingles; 1 for two without words."""
+    a, b = set(shingles(one, size)), set(shingles(other, size))
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def _segmented(rows: DataFrame, bits: int) -> DataFrame:
+    """``copy``, ``id``, 64-bit words of the fingerprint and the values of its segments."""
+    mask, count = (1 << bits) - 1, SIMILAR_BITS // bits
+
+    def compute(rows):
+        words = [simhash(t, 3, SIMILAR_SEEDS) for t in rows["text"]]
+        whole = [sum((w & (1 << 64) - 1) << 64 * k for k, w in enumerate(ws)) for ws in words]
+        cut = [[w >> k * bits & mask for k in range(count)] for w in whole]
+        return {"copy": rows["copy"], "id": rows["id"], "words": words, "segments": cut}
+
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"copy long, id {kind}, words array<long>, segments array<long>"
+    return map_rows(rows.select("copy", "id", "text"), compute, schema)
+
+
+def _met(left: DataFrame, bits: int) -> DataFrame:
+    """Pairs of ``copy`` keys that share a value of some segment's ball. Each text meets the
+    smallest and the largest key of a bucket, not all others: a group of very many near copies
+    gives a few pairs for each of them."""
+    flips = [F.lit(0).cast("long")] + [F.lit(1 << k).cast("long") for k in range(bits)]
+
+    def around(k: int) -> Column:
+        return F.transform(
+            F.array(*flips), lambda flip: F.get("segments", F.lit(k)).bitwiseXOR(flip) + F.lit(k << bits)
+        )
+
+    balls = F.concat(*[around(k) for k in range(SIMILAR_BITS // bits)])
+    keys = left.select("copy", F.explode(balls).alias("key"))
+    ends = keys.groupBy("key").agg(F.min("copy").alias("low"), F.max("copy").alias("high")).where("low < high")
+    pairs = keys.join(ends, "key").select("copy", F.explode(F.array("low", "high")).alias("end")).where("copy <> end")
+    return pairs.select(F.least("copy", "end").alias("a"), F.greatest("copy", "end").alias("b")).distinct()
+
+
+def similar_pairs(rows: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
+    """Verified pairs ``a``, ``b`` of ``copy`` keys. ``rows`` have the texts, ``classes`` one
+    row a distinct text with its fingerprint."""
+    prints = classes.select("copy", "words")
+    distance = sum(
+        (F.bit_count(F.get("p", F.lit(k)).bitwiseXOR(F.get("q", F.lit(k)))) for k in range(1, len(SIMILAR_SEEDS))),
+        F.bit_count(F.get("p", F.lit(0)).bitwiseXOR(F.get("q", F.lit(0)))),
+    )
+    left, pairs, tried = classes.select("copy", "segments"), None, None
+
+    def compare(rows):
+        found = zip(rows["one"], rows["other"], strict=True)
+        return {"a": rows["a"], "b": rows["b"], "similarity": [similarity(x, y) for x, y in found]}
+
+    for _ in range(SIMILAR_ROUNDS):
+        near = _met(left, bits).join(prints.toDF("a", "p"), "a").join(prints.toDF("b", "q"), "b")
+        near = near.where(distance <= SIMILAR_DISTANCE).select("a", "b")
+        near = stored(near if tried is None else near.join(tried, ["a", "b"], "left_anti"), "similar-candidates")
+        tried = near if tried is None else tried.union(near)
+        both = near.select(F.explode(F.array("a", "b")).alias("copy")).distinct()
+        texts = stored(rows.join(both, "copy").select("copy", "text").dropDuplicates(["copy"]), "similar-texts")
+        sides = near.join(texts.toDF("a", "one"), "a").join(texts.toDF("b", "other"), "b")
+        compared = map_rows(sides.select("a", "b", "one", "other"), compare, "a long, b long, similarity double")
+        found = stored(compared.where(F.col("similarity") >= SIMILARITY).select("a", "b"), "similar-pairs")
+        pairs = found if pairs is None else pairs.union(found)
+        # The larger key of a pair has found its group; the smaller may go on for it.
+        waiting = both.join(found.select(F.col("b").alias("copy")).distinct(), "copy", "left_anti")
+        left = stored(classes.join(waiting, "copy", "left_semi").select("copy", "segments"), "similar-left")
+        if left.isEmpty():
+            break
+    return pairs
+
+
+def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``copy`` (the hash of a text), ``group``, and ``first``, the smallest id in its group of
+    exact and near copies, that is texts linked by four fifths or more of common shingles of
+    five words.
+
+    Near copies are found by 128-bit SimHash fingerprints of three-word shingles and
+    multi-index hashing, and every link is verified on the whole texts; the candidate search
+    finds about 95 % of the pairs at four fifths, and nearly all closer ones. A null text
+    counts as empty; texts without words are one group. ``first`` is null in groups where all
+    ids are. An empty table gives no rows.
+    """
+    rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    rows = rows.withColumn("copy", F.xxhash64("text"))
+    bits = max(LEAST_SEGMENT, df.count().bit_length() + SEGMENT_MARGIN)
+    made = stored(_segmented(rows, bits), "similar-prints")
+    classes = stored(
+        made.groupBy("copy").agg(
+            F.min("id").alias("first"), F.any_value("words").alias("words"), F.any_value("segments").alias("segments")
+        ),
+        "similar-classes",
+    )
+    labels = components(similar_pairs(rows, classes, bits)).toDF("copy", "label")
+    labelled = classes.select("copy", "first").join(labels, "copy", "left")
+    labelled = labelled.select("copy", "first", F.coalesce("label", "copy").alias("group"))
+    named = labelled.groupBy("group").agg(F.min("first").alias("group_first"))
+    found = labelled.join(named, "group").select("copy", "group", F.col("group_first").alias("first"))
+    return stored(found, "groups")

@@ -251,31 +251,35 @@ def train_toxicity(
 
 
 def score_toxicity(
-    df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame,
+    model: ToxicityModel,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``held_out``, ``score``, ``predicted`` and the significant ``passages`` (token places
+    """The ``keep`` columns as they are, ``held_out``, ``score``, ``predicted`` and the significant ``passages`` (token places
     and units) of every whole text, one row per row. A null text is an empty one, which scores
     as a text without evidence. Nothing but the text has a part in the score."""
     shipped = df.sparkSession.sparkContext.broadcast(model)
-    kind = df.schema[id_col].dataType.simpleString()
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = list(dict.fromkeys([id_col, *keep]))
 
     def score(rows):
         law, out = shipped.value, []
-        for text in rows[text_col]:
+        texts = [t or "" for t in rows[text_col]]
+        for text in texts:
             words = tokens(text)
             found = segments(hits(words, law.scores), law.cost)
             rated = zip(found, units(found, len(words), law), strict=True)
             out.append([{"first": a, "last": b, "units": u} for (_, a, b), u in rated if u > -math.log(EXPECTED)])
-        return {
-            id_col: rows[id_col],
-            "score": [probability(t, law) for t in rows[text_col]],
-            "passages": out,
-        }
-
-    schema = f"`{id_col}` {kind}, score double, passages array<struct<first: int, last: int, units: double>>"
-    scored = map_rows(df.select(id_col, text_or_empty(text_col)), score, schema)
+        found = {"score": [probability(t, law) for t in texts], "passages": out}
+        return {c: rows[c] for c in names} | found
+
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names)
+    schema += ", score double, passages array<struct<first: int, last: int, units: double>>"
+    scored = map_rows(df.select(*dict.fromkeys([*names, text_col])), score, schema)
     return scored.select(
-        id_col,
+        *names,
         held_out(id_col).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
