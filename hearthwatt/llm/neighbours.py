@@ -20,18 +20,26 @@ from pyspark.sql.types import StructType
 
 from hearthwatt.llm.frames import find_package, stored
 
-#: Neighbours of a vertex in the graph, and as many reverse ones at most in a round's meeting.
-DEGREE = 20
+#: Neighbours of a vertex in the graph.
+DEGREE = 32
+#: Links of a vertex that meet in a round, in each direction; new ones come first.
+SAMPLE = 24
 #: Rounds of NN-descent.
-ROUNDS = 4
-#: Random orders the graph starts from, sign bits that sort vectors, and rows of a block.
-ORDERS, SIGNS, BLOCK = 3, 12, 256
+ROUNDS = 3
+#: Random orders the graph starts from, and rows of a block.
+ORDERS, BLOCK = 6, 512
+#: An order puts vectors with the same nearest pivot together. Pivots are rows chosen by hash:
+#: one for so many vectors, within these bounds.
+VECTORS_PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 2048, 16, 4096
 #: Best vertices a query remembers, and those it expands at once.
-BEAM, EXPANDED = 80, 16
+BEAM, EXPANDED = 64, 16
 #: Greedy steps at most; a query stops before if all it remembers are expanded.
 STEPS = 20
 
 
+LINK = "a long, b long, near float, fresh boolean"
+
+
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``id`` and ``v`` (doubles) of rows whose vector is not null, empty or zero, with finite
     components only, and whose id is not null."""
@@ -56,7 +64,7 @@ def _run(df: DataFrame, function, schema: str) -> DataFrame:
 
 def _floats(column: pa.Array, kind: str) -> np.ndarray:
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1)
+    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1) if rows else np.zeros((0, 1), kind)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -77,19 +85,16 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _start(nodes: DataFrame, size: int, degree: int, order: int) -> DataFrame:
-    """Exact neighbours within blocks of vectors that follow each other in a random order: by
-    the signs of random projections, then by a further projection."""
-    planes = np.random.default_rng(order).standard_normal((SIGNS + 1, size)).astype(np.float32)
+def _start(nodes: DataFrame, pivots: np.ndarray, degree: int, order: int) -> DataFrame:
+    """Exact neighbours within blocks of vectors that follow each other in an order: by nearest
+    pivot, then by a random projection."""
+    line = np.random.default_rng(order).standard_normal(pivots.shape[1]).astype(np.float32)
 
     def sort_key(batches):
         for batch in batches:
-            at = _floats(batch.column("raw"), "<f4") @ planes.T
-            # In Gray order neighbouring codes differ by one sign.
-            code = ((at[:, :SIGNS] > 0) << np.arange(SIGNS)[::-1]).sum(axis=1)
-            for shift in (8, 4, 2, 1):
-                code ^= code >> shift
-            key = code + 1 / (1 + np.exp(-at[:, SIGNS].astype(np.float64)))
+            v = _floats(batch.column("raw"), "<f4")
+            cell = (v @ pivots.T).argmax(axis=1)
+            key = cell + 1 / (1 + np.exp(-(v @ line).astype(np.float64)))
             yield {"node": batch.column("node"), "raw": batch.column("raw"), "key": key}
 
     def meet(batches):
@@ -113,121 +118,149 @@ def _start(nodes: DataFrame, size: int, degree: int, order: int) -> DataFrame:
         k = min(degree, len(ids) - 1)
         best = np.argpartition(-near, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(ids), 0), int)
         rows = np.repeat(np.arange(len(ids)), best.shape[1])
-        return {"a": ids[rows], "b": ids[best.ravel()], "near": near[rows, best.ravel()]}
+        found = near[rows, best.ravel()]
+        return {"a": ids[rows], "b": ids[best.ravel()], "near": found, "fresh": np.ones(len(found), bool)}
 
     keyed = _run(nodes.select("node", "raw"), sort_key, "node long, raw binary, key double")
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keyed.repartitionByRange(tasks, "key").sortWithinPartitions("key")
-    return _run(dealt, meet, "a long, b long, near float")
-
-
-def _best(links: DataFrame, degree: int) -> DataFrame:
-    """For each vertex its best links, as one row of arrays."""
-
-    def take(batches):
-        for group in _groups(batches, "a"):
-            b, near = group["b"].to_numpy(), group["near"].to_numpy()
-            _, first = np.unique(b, return_index=True)
-            first = first[np.lexsort((b[first], -near[first]))][:degree]
-            yield {"node": group["a"].slice(0, 1).combine_chunks(), "others": [b[first]], "near": [near[first]]}
+    return _run(dealt, meet, LINK)
+
+
+def _mixed(*parts) -> np.ndarray:
+    """Pseudo-random numbers in [0, 1) that depend on the arguments alone."""
+    x = np.zeros(1, np.uint64)
+    for part in parts:
+        x = (x ^ np.asarray(part).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        x = x ^ (x >> np.uint64(29))
+    return (x * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(11)) / float(1 << 53)
+
+
+def _best(links: DataFrame, degree: int, round_number: int) -> DataFrame:
+    """For each vertex its best links, as one row of arrays, with those that meet next. A link
+    that has met before is no longer fresh."""
+
+    def take(group):
+        node, b, near, fresh = (group[c].to_numpy() for c in ("a", "b", "near", "fresh"))
+        order = np.lexsort((fresh, b))
+        b, near, fresh = b[order], near[order], fresh[order]
+        first = np.concatenate([[True], b[1:] != b[:-1]])
+        b, near, fresh = b[first], near[first], fresh[first]
+        order = np.lexsort((b, -near))[:degree]
+        b, near, fresh = b[order], near[order], fresh[order]
+        met = np.argsort(_mixed(node[0], b, round_number) - fresh, kind="stable")[:SAMPLE]
+        after = fresh.copy()
+        after[met] = False
+        return {"node": node[0], "others": b, "near": near, "fresh": after, "met": b[met], "met_fresh": fresh[met]}
 
     def several(batches):
         held = []
-        for one in take(batches):
-            held.append(one)
+        for group in _groups(batches, "a"):
+            held.append(take(group))
             if len(held) == 512:
-                yield joined(held)
+                yield {c: [h[c] for h in held] for c in held[0]}
                 held = []
         if held:
-            yield joined(held)
-
-    def joined(held):
-        return {
-            "node": pa.concat_arrays([h["node"] for h in held]),
-            "others": [h["others"][0] for h in held],
-            "near": [h["near"][0] for h in held],
-        }
+            yield {c: [h[c] for h in held] for c in held[0]}
 
     ordered = _trimmed(links, degree).repartition("a").sortWithinPartitions("a")
-    return _run(ordered, several, "node long, others array<long>, near array<float>")
+    schema = (
+        "node long, others array<long>, near array<float>, fresh array<boolean>, "
+        "met array<long>, met_fresh array<boolean>"
+    )
+    return _run(ordered, several, schema)
 
 
 def _trimmed(links: DataFrame, degree: int) -> DataFrame:
-    """Drop, within each task, links that can't be among the best of their vertex, so that a
+    """Drop, within each batch, links that can't be among the best of their vertex, so that a
     vertex that many introduce sends few rows to its reducer."""
 
     def trim(batches):
         for batch in batches:
-            a, b, near = (batch.column(c).to_numpy() for c in ("a", "b", "near"))
+            a, b, near, fresh = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "near", "fresh"))
+            # Of equal pairs one that has met comes first and is kept.
+            order = np.lexsort((fresh, b, a))
+            a, b, near, fresh = a[order], b[order], near[order], fresh[order]
+            once = np.ones(len(a), bool)
+            once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            a, b, near, fresh = a[once], b[once], near[once], fresh[once]
             order = np.lexsort((b, -near, a))
-            a, b, near = a[order], b[order], near[order]
-            fresh = np.ones(len(a), bool)
-            fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            a, b, near = a[fresh], b[fresh], near[fresh]
+            a, b, near, fresh = a[order], b[order], near[order], fresh[order]
             starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, int)
             rank = np.arange(len(a)) - np.repeat(starts, np.diff(np.append(starts, len(a))))
-            # Equal pairs are apart if their values differ in the last bit: keep a few more.
-            good = rank < 2 * degree
-            yield {"a": a[good], "b": b[good], "near": near[good]}
+            good = rank < degree
+            yield {"a": a[good], "b": b[good], "near": near[good], "fresh": fresh[good]}
 
-    return _run(links.select("a", "b", "near"), trim, "a long, b long, near float")
+    return _run(links.select("a", "b", "near", "fresh"), trim, LINK)
 
 
-def _meet(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
-    """One round of NN-descent: all pairs among a vertex's neighbours, in both directions, that
-    are better than the worst one known so far."""
-    forward = graph.select(F.col("node").alias("v"), F.explode("others").alias("a"))
-    by_chance = Window.partitionBy("v").orderBy(F.xxhash64("a", "v"), "a")
+def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One round of NN-descent: all pairs among a vertex's sampled neighbours, in both
+    directions, of which one is fresh and that are better than the worst link known so far."""
+    pairs = graph.select(F.col("node").alias("v"), F.explode(F.arrays_zip("met", "met_fresh")).alias("x"))
+    forward = pairs.select("v", F.col("x.met").alias("a"), F.col("x.met_fresh").alias("fresh"))
+    by_chance = Window.partitionBy("v").orderBy(F.desc("fresh"), F.xxhash64("a", "v"), "a")
     backward = (
-        forward.select(F.col("a").alias("v"), F.col("v").alias("a"))
+        forward.select(F.col("a").alias("v"), F.col("v").alias("a"), "fresh")
         .withColumn("rank", F.row_number().over(by_chance))
-        .where(F.col("rank") <= degree)
+        .where(F.col("rank") <= SAMPLE)
         .drop("rank")
     )
     worst = graph.select(F.col("node").alias("a"), F.array_min("near").alias("worst"))
     known = stored(nodes.select(F.col("node").alias("a"), "half").join(worst, "a"), "known")
-    members = forward.union(backward).distinct().join(known, "a")
+    members = forward.union(backward).join(known, "a")
 
     def introduce(batches):
         for group in _groups(batches, "v"):
-            ids, worst = group["a"].to_numpy(), group["worst"].to_numpy()
-            v = _floats(group["half"], "<f2").astype(np.float32)
+            ids, worst, fresh = (group[c].to_numpy() for c in ("a", "worst", "fresh"))
+            order = np.lexsort((~fresh, ids))
+            order = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]
+            ids, worst, fresh = ids[order], worst[order], fresh[order]
+            if not fresh.any():
+                continue
+            v = _floats(group["half"], "<f2")[order].astype(np.float32)
             near = v @ v.T
             np.fill_diagonal(near, -np.inf)
-            one, other = np.nonzero(near > worst[:, None])
-            yield ids[one], ids[other], near[one, other]
+            one, other = np.nonzero((near > worst[:, None]) & (fresh[:, None] | fresh[None, :]))
+            yield ids[one], ids[other], near[one, other], np.ones(len(one), bool)
 
     def several(batches):
         held, rows = [], 0
         for part in introduce(batches):
             held.append(part)
             rows += len(part[0])
-            if rows > 50_000:
-                yield dict(zip(("a", "b", "near"), map(np.concatenate, zip(*held, strict=True)), strict=True))
+            if rows > 100_000:
+                yield dict(zip(("a", "b", "near", "fresh"), map(np.concatenate, zip(*held, strict=True)), strict=True))
                 held, rows = [], 0
         if held:
-            yield dict(zip(("a", "b", "near"), map(np.concatenate, zip(*held, strict=True)), strict=True))
+            yield dict(zip(("a", "b", "near", "fresh"), map(np.concatenate, zip(*held, strict=True)), strict=True))
 
-    ordered = members.select("v", "a", "half", "worst").repartition("v").sortWithinPartitions("v")
-    return _run(ordered, several, "a long, b long, near float")
+    ordered = members.select("v", "a", "fresh", "half", "worst").repartition("v").sortWithinPartitions("v")
+    return _run(ordered, several, LINK)
 
 
-def neighbour_graph(nodes: DataFrame, size: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """``node`` and ``others`` by NN-descent. Values are compared on 16-bit floats; ``near`` is
     for building only."""
-    links = _start(nodes, size, degree, 0)
-    for order in range(1, ORDERS):
-        links = links.union(_start(nodes, size, degree, order))
-    graph = stored(_best(links, degree), "graph")
-    for _ in range(rounds):
-        old = graph.select(F.col("node").alias("a"), F.explode(F.arrays_zip("others", "near")).alias("x"))
-        old = old.select("a", F.col("x.others").alias("b"), F.col("x.near").alias("near"))
-        graph = stored(_best(old.union(_meet(graph, nodes, degree)), degree), "graph")
+    count = min(MOST_PIVOTS, max(LEAST_PIVOTS, nodes.count() // VECTORS_PER_PIVOT))
+    by_hash = nodes.select("raw", F.xxhash64("node", F.lit("pivot")).alias("key")).orderBy("key")
+    chosen = np.array([np.frombuffer(r["raw"], "<f4") for r in by_hash.limit(count * ORDERS).collect()])
+    links = None
+    for order in range(ORDERS if len(chosen) else 0):
+        more = _start(nodes, chosen[order::ORDERS] if len(chosen) >= ORDERS else chosen, degree, order)
+        links = more if links is None else links.union(more)
+    if links is None:
+        links = nodes.sparkSession.createDataFrame([], LINK)
+    graph = stored(_best(links, degree, 0), "graph")
+    for number in range(1, rounds + 1):
+        old = graph.select(F.col("node").alias("a"), F.explode(F.arrays_zip("others", "near", "fresh")).alias("x"))
+        old = old.select("a", F.col("x.others").alias("b"), F.col("x.near").alias("near"), F.col("x.fresh").alias("fresh"))
+        graph = stored(_best(old.union(_meet(graph, nodes)), degree, number), "graph")
     return graph
 
 
 def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) -> DataFrame:
-    """Greedy search: ``q`` with its ``beam`` best vertices and their inner products.
+    """Greedy search: pairs of ``q`` and one of its ``beam`` best vertices, by 16-bit floats.
 
     A vertex's links are walked both ways. Each step expands the best unexpanded vertices of
     every query at once; vertices a query has met are not fetched again.
@@ -237,7 +270,7 @@ def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) ->
     backward = forward.select(F.col("w").alias("node"), F.col("node").alias("w"))
     backward = backward.withColumn("rank", F.row_number().over(by_chance)).where(F.col("rank") <= DEGREE)
     links = stored(forward.union(backward.drop("rank")).distinct(), "links")
-    vectors = nodes.select(F.col("node").alias("w"), F.col("exact").alias("wv"))
+    vectors = nodes.select(F.col("node").alias("w"), F.col("half").alias("wv"))
     schema = "q long, qv binary, met array<long>, beam array<long>, score array<double>, open array<long>"
     target = to_arrow_schema(StructType.fromDDL(schema))
 
@@ -247,9 +280,9 @@ def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) ->
         row = state.slice(0, 1).to_pylist()[0]
         ids, score = np.array(row["beam"], np.int64), np.array(row["score"], np.float64)
         fresh = {i: x for i, x in zip(found["w"].to_pylist(), found["wv"].to_pylist(), strict=True)}
-        qv = np.frombuffer(row["qv"], "<f8")
+        qv = np.frombuffer(row["qv"], "<f4")
         if fresh:
-            new = np.frombuffer(b"".join(fresh.values()), "<f8").reshape(len(fresh), -1) @ qv
+            new = np.frombuffer(b"".join(fresh.values()), "<f2").reshape(len(fresh), -1).astype(np.float32) @ qv
             ids, score = np.append(ids, list(fresh)), np.append(score, new)
         order = np.lexsort((ids, -score))[:beam]
         ids, score = ids[order], score[order]
@@ -262,7 +295,7 @@ def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) ->
 
     state = queries.select(
         F.col("node").alias("q"),
-        F.col("exact").alias("qv"),
+        F.col("asking").alias("qv"),
         F.array("node").alias("met"),
         F.array().cast("array<long>").alias("beam"),
         F.array().cast("array<double>").alias("score"),
@@ -283,7 +316,7 @@ def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) ->
         )
         found = seen.withColumnRenamed("q", "asker").groupBy("asker")
         state = stored(state.groupBy("q").cogroup(found).applyInArrow(step, schema), "walk")
-    return state.select("q", "beam", "score")
+    return state.select("q", F.explode("beam").alias("w"))
 
 
 def nearest(
@@ -329,28 +362,30 @@ def nearest(
                 "ids": batch.column("ids"),
                 "exact": [x.tobytes() for x in exact.astype("<f8")],
                 "raw": [x.tobytes() for x in raw.astype("<f4")],
+                "asking": [x.tobytes() for x in np.column_stack([exact, 0 * rest]).astype("<f4")],
                 "half": [x.tobytes() for x in raw.astype("<f2")],
             }
 
-    schema = "node long, ids array<long>, exact binary, raw binary, half binary"
+    schema = "node long, ids array<long>, exact binary, raw binary, asking binary, half binary"
     nodes = stored(_run(classes, encode, schema), "nodes")
-    graph = neighbour_graph(nodes, size + 1, degree, rounds)
+    graph = neighbour_graph(nodes, degree, rounds)
 
     asked = stored(
         rows.where(F.col("id") % every == 0).join(classes.select("v", "node"), "v").select("id", "node"), "asked"
     )
     starts = nodes.join(asked.select("node").distinct(), "node", "left_semi")
     walked = _walk(starts, graph, nodes, beam)
-    own = starts.select(F.col("node").alias("q"), F.col("node").alias("w"), F.col("exact").alias("x"))
-    found = walked.select("q", F.explode(F.arrays_zip("beam", "score")).alias("x"))
-    found = found.select("q", F.col("x.beam").alias("w"), F.col("x.score").alias("score"))
+    own = starts.select(F.col("node").alias("q"), F.col("node").alias("w"))
+    exact = nodes.select(F.col("node").alias("w"), F.col("exact").alias("wv"))
+    pairs = walked.union(own).join(exact, "w").join(exact.toDF("q", "qv"), "q")
 
-    def square(batches):
+    def measure(batches):
         for batch in batches:
-            v = [np.frombuffer(x, "<f8") for x in batch.column("x").to_pylist()]
-            yield {"q": batch.column("q"), "w": batch.column("w"), "score": [float(x @ x) for x in v]}
+            one, other = _floats(batch.column("qv"), "<f8"), _floats(batch.column("wv"), "<f8")
+            score = (one.reshape(len(one), -1) * other.reshape(len(other), -1)).sum(axis=1)
+            yield {"q": batch.column("q"), "w": batch.column("w"), "score": score}
 
-    found = found.union(_run(own, square, "q long, w long, score double"))
+    found = _run(pairs.select("q", "w", "qv", "wv"), measure, "q long, w long, score double")
     listed = found.join(nodes.select(F.col("node").alias("w"), "ids"), "w")
     listed = listed.select("q", "score", F.explode("ids").alias("vec_id"))
     by_score = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
