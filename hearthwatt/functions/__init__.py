@@ -1,6 +1,6 @@
 from .calendar import calendar_parts, epoch_seconds, weekend_flag
 from .keyed import in_first_share
-from .numeric import fixed_width_bin, percent_difference, squared
+from .numeric import fixed_width_bin, missing, number, percent_difference, squared
 from .parsing import clock_hour, parse_date, reading_timestamp
 
 __all__ = [
@@ -9,6 +9,8 @@ __all__ = [
     "epoch_seconds",
     "fixed_width_bin",
     "in_first_share",
+    "missing",
+    "number",
     "parse_date",
     "percent_difference",
     "reading_timestamp",

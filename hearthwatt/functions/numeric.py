@@ -6,6 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def missing(column: Column) -> Column:
+    """NULL or NaN. Text that is no number is not missing."""
+    return column.isNull() | F.coalesce(F.isnan(column.try_cast("double")), F.lit(False))
+
+
+def number(column: Column) -> Column:
+    """The column as double; text that is no number, and NaN, become NULL."""
+    value = column.try_cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def squared(value: Column) -> Column:
     return value * value
 

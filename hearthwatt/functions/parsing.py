@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Up to eight characters the text is a clock reading; longer text is a full
-# timestamp whose clock reading follows the first space.
-_LEADING_HOUR = r"^(?:(?=.{9})[^ ]+ |(?!.{9}))([0-9]{1,2})(?::.*)?$"
+# Longer text is a full timestamp, whose clock reading follows the first space or "T".
+_CLOCK_LENGTH = 8
+_AFTER_DATE = r"^[^ T]+[ T](.*)$"
+_LEADING_HOUR = r"^([0-9]{1,2})(?::.*)?$"
 
 # A clock reading at the end of the text; a fraction of a second is left out.
 _CLOCK = r"(?:^|[ T])((?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9])?)(?:[.][0-9]+)?$"
@@ -20,7 +21,10 @@ _ISO_DATE_FORM = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 def clock_hour(text: Column) -> Column:
     """Hour of day (0-23, int) from ``HH:mm``, ``HH:mm:ss`` or a full timestamp."""
-    hour = F.regexp_extract(F.trim(text), _LEADING_HOUR, 1).try_cast("int")
+    trimmed = F.trim(text)
+    full = F.length(trimmed) > _CLOCK_LENGTH
+    clock = F.when(full, F.regexp_extract(trimmed, _AFTER_DATE, 1)).otherwise(trimmed)
+    hour = F.regexp_extract(clock, _LEADING_HOUR, 1).try_cast("int")
     return F.when(hour.between(0, 23), hour)
 
 

@@ -15,6 +15,7 @@ from .comparing import compare_to_average
 from .metrics import best_model, best_model_name, metric_suite, metric_table
 from .modelling import (
     FittedModels,
+    check_categories,
     fit_forecast,
     fit_household,
     index_categories,
@@ -34,6 +35,7 @@ from .profiling import (
     by_season,
     correlation,
     describe_numeric,
+    from_profile,
     headline,
     histogram,
     profile_all,
@@ -47,6 +49,15 @@ from .series import (
     with_lags,
     with_rolling,
 )
-from .splitting import hash_sample, hash_split, split_by_time, split_sizes, time_bounds, time_limits
+from .splitting import (
+    hash_sample,
+    hash_split,
+    split_by_time,
+    split_ranges,
+    split_sizes,
+    time_bounds,
+    time_limits,
+    within_split,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

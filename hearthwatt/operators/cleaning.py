@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import clock_hour, parse_date, reading_timestamp
+from ..functions import clock_hour, missing, number, parse_date, reading_timestamp
 from ..functions.parsing import ISO_DATE
 from ..schema import ENERGY_RANGE, MEASURES, READING_NAMES
 
@@ -21,8 +21,8 @@ def rename_readings(df: DataFrame, names: Mapping[str, str] = READING_NAMES) ->
 
 
 def cast_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns as double; text that is no number becomes NULL."""
-    return df.withColumns({name: F.col(name).try_cast("double") for name in columns})
+    """The columns as double; text that is no number, and NaN, become NULL."""
+    return df.withColumns({name: number(F.col(name)) for name in columns})
 
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -49,10 +49,12 @@ def keep_parsed(df: DataFrame, column: str = "ts") -> DataFrame:
     return df.filter(F.col(column).isNotNull())
 
 
-def with_reading_calendar(df: DataFrame) -> DataFrame:
+def with_reading_calendar(
+    df: DataFrame, date_formats: Sequence[str] = (ISO_DATE,)
+) -> DataFrame:
     """Adds ``hour, date_parsed, month, year, day_of_week`` from the text columns."""
     return df.withColumns(
-        {"hour": clock_hour(F.col("time")), "date_parsed": parse_date(F.col("date"))}
+        {"hour": clock_hour(F.col("time")), "date_parsed": parse_date(F.col("date"), date_formats)}
     ).withColumns(
         {
             "month": F.month("date_parsed"),
@@ -66,6 +68,7 @@ def clean_readings(
     raw: DataFrame,
     energy_range: tuple[float, float] = ENERGY_RANGE,
     require_calendar: bool = False,
+    date_formats: Sequence[str] = (ISO_DATE,),
 ) -> DataFrame:
     """The 13-column clean table behind all household reports.
 
@@ -77,7 +80,7 @@ def clean_readings(
     """
     complete = drop_nulls(rename_readings(raw), list(READING_NAMES.values()))
     plausible = keep_open_range(complete, "energy_consumption", *energy_range)
-    clean = with_reading_calendar(drop_repeats(plausible.select(*READING_NAMES.values())))
+    clean = with_reading_calendar(drop_repeats(plausible.select(*READING_NAMES.values())), date_formats)
     return drop_nulls(clean, ["hour", "date_parsed"]) if require_calendar else clean
 
 
@@ -114,8 +117,10 @@ def quality_report(
 ) -> DataFrame:
     """One row of counts, from one scan: what is wrong with the raw readings."""
     df = with_timestamp(rename_readings(raw), date_formats)
-    energy = F.col("energy_consumption").try_cast("double")
-    any_null = reduce(or_, (F.col(name).isNull() for name in READING_NAMES.values()))
+    energy = number(F.col("energy_consumption"))
+    measures = [missing(F.col(name)) for name in MEASURES]
+    others = [F.col(name).isNull() for name in READING_NAMES.values() if name not in MEASURES]
+    any_null = reduce(or_, measures + others)
     return df.agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(any_null).alias("rows_with_null"),

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import missing
+
 # Fixed value: stands in for a label of zero when a percentage error is taken.
 ZERO_LABEL = 1e-9
 
@@ -18,9 +20,9 @@ def metric_columns(label: Column, prediction: Column, skip_zero: bool = False) -
     ``skip_zero`` leaves such rows out of it instead. ``zero_labels`` says how many
     there are. ``r2`` is NULL when the label does not vary.
     """
-    both = label.isNotNull() & prediction.isNotNull()
+    both = ~missing(label) & ~missing(prediction)
     actual = F.when(both, label)
-    error = actual - prediction
+    error = F.when(both, label - prediction)
     base = F.when(actual != 0, actual) if skip_zero else F.when(actual == 0, ZERO_LABEL).otherwise(actual)
     total = F.var_pop(actual) * F.count(actual)
     r2 = 1 - F.try_divide(F.sum(error * error), total)

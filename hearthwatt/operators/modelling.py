@@ -23,7 +23,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import squared
+from ..functions import missing, squared
 from .comparing import compare_to_average
 from .series import FEATURES, LABEL
 
@@ -55,6 +55,13 @@ HOUSEHOLD_VECTOR = (
     "temp_squared",
 )
 
+# Labels of a category column at most.
+MOST_CATEGORIES = 10_000
+
+# Partitions of the training rows. Trees depend on the partitioning, so it must not
+# follow from the machine; a large training set should be given more.
+TRAINING_PARTITIONS = 16
+
 _REGRESSORS = {
     "linear": LinearRegression,
     "tree": DecisionTreeRegressor,
@@ -83,7 +90,19 @@ def category_indexer(columns: Mapping[str, str] = CATEGORIES) -> StringIndexer:
     )
 
 
+def check_categories(df: DataFrame, columns: Mapping[str, str] = CATEGORIES) -> None:
+    """Fails if a column has more than ``MOST_CATEGORIES`` labels.
+
+    Indexing brings the labels to the driver, and trees need as many bins.
+    """
+    counts = df.agg(*(F.count_distinct(name).alias(name) for name in columns)).first()
+    for name in columns:
+        if counts[name] > MOST_CATEGORIES:
+            raise ValueError(f"{name} has {counts[name]} labels; at most {MOST_CATEGORIES} can be indexed")
+
+
 def index_categories(df: DataFrame, columns: Mapping[str, str] = CATEGORIES) -> DataFrame:
+    check_categories(df, columns)
     return category_indexer(columns).fit(df).transform(df)
 
 
@@ -174,19 +193,18 @@ class FittedModels:
 def _complete(columns: Sequence[str]):
     result = F.lit(True)
     for name in columns:
-        result = result & F.col(name).isNotNull()
+        result = result & ~missing(F.col(name))
     return result
 
 
-def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """At least one partition per core, by hash of ``keys``.
+def spread(
+    df: DataFrame, keys: Sequence[str], partitions: int = TRAINING_PARTITIONS
+) -> DataFrame:
+    """``partitions`` partitions by hash of ``keys``, whatever the cluster and the files.
 
-    For stored tables only: a small one may come back as a single partition, which
-    would train on one core. Large tables have more partitions and stay as they are.
     ``keys`` should identify a row, so that no partition grows with a hot value.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df.repartition(partitions, *keys)
 
 
 def _fit(
@@ -220,6 +238,15 @@ def _fit(
     return FittedModels(tuple(fitted.stages), models, tuple(numbers))
 
 
+def fit_regressor(
+    train: DataFrame, steps: Sequence, label: str, name: str, settings: Mapping
+) -> tuple[PipelineModel, Model]:
+    """Feature steps of the caller's choice and one regressor on their raw vector."""
+    fitted = Pipeline(stages=list(steps)).fit(train)
+    regressor = _REGRESSORS[name](labelCol=label, featuresCol=_RAW, **settings)
+    return fitted, regressor.fit(fitted.transform(train))
+
+
 def _labels(stage: Transformer) -> list:
     return stage.labelsArray if hasattr(stage, "labelsArray") else []
 
@@ -241,6 +268,7 @@ def fit_household(
     parallelism: int = 1,
 ) -> FittedModels:
     """Household models on clean readings (training rows only)."""
+    check_categories(train)
     return _fit(train, household_steps(), HOUSEHOLD_NUMBERS, label, settings, parallelism)
 
 

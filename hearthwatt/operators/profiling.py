@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fixed_width_bin
+from ..functions import fixed_width_bin, number
 
 ENERGY = "energy_consumption"
 TEMPERATURE = "outdoor_temperature"
@@ -62,14 +62,11 @@ def by_household_size(df: DataFrame) -> DataFrame:
     )
 
 
-def by_date_hour(df: DataFrame, n: int = 500) -> DataFrame:
-    """Mean energy per date and hour; the first ``n`` points of the time line."""
-    return (
-        df.groupBy("date", "hour")
-        .agg(F.avg(ENERGY).alias("avg_consumption"))
-        .orderBy("date", "hour")
-        .limit(n)
-    )
+def by_date_hour(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Mean energy per date and hour, in order; with ``n`` the first points only."""
+    means = df.groupBy("date", "hour").agg(F.avg(ENERGY).alias("avg_consumption"))
+    line = means.orderBy("date", "hour")
+    return line if n is None else line.limit(n)
 
 
 def profile_all(df: DataFrame) -> DataFrame:
@@ -105,6 +102,24 @@ def profile_all(df: DataFrame) -> DataFrame:
     )
 
 
+def from_profile(profile: DataFrame, dimension: str) -> DataFrame:
+    """One of the four reports, sorted, from a stored ``profile_all``: no further scan.
+
+    Its ``count`` is that of rows, which is also that of energies in a clean table.
+    """
+    kinds = {"hour": "int", "household_size": "int"}
+    part = profile.filter(F.col("dimension") == dimension).withColumn(
+        dimension, F.col("value").cast(kinds.get(dimension, "string"))
+    )
+    figures, order = {
+        "appliance_type": (("count", "avg_consumption", "total_consumption"), F.desc("total_consumption")),
+        "season": (("count", "avg_consumption", "avg_temperature"), F.desc("avg_consumption")),
+        "hour": (("avg_consumption",), F.col("hour")),
+        "household_size": (("count", "avg_consumption"), F.col("household_size")),
+    }[dimension]
+    return part.select(dimension, *figures).orderBy(order, dimension)
+
+
 def headline(df: DataFrame) -> DataFrame:
     """The four headline figures in one row."""
     return df.agg(
@@ -141,32 +156,28 @@ def correlation(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame
     """Pearson correlation of every two columns, as rows ``(x, y, r)``.
 
     Each pair uses the rows where both columns have a value. A column that does not
-    vary has no correlation: ``r`` is NULL. Ten pairs share one pass over the columns
-    they need; the diagonal is a pass of its own.
+    vary has no correlation: ``r`` is NULL; for the diagonal, one that does not vary in
+    the rows of any pair. Ten pairs, so those of five columns, share one pass over the
+    columns they need, and the diagonal follows from their deviations.
     """
-
-    def number(name: str) -> Column:
-        return F.col(name).cast("double")
-
-    def coefficient(x: str, y: str) -> Column:
-        a, b = number(x), number(y)
-        spread = F.stddev_samp(F.when(b.isNotNull(), a)) * F.stddev_samp(F.when(a.isNotNull(), b))
-        return F.try_divide(F.covar_samp(a, b), spread)
-
-    def cells(entries: Sequence[tuple[str, str, Column]]) -> DataFrame:
-        rows = (F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r")) for x, y, r in entries)
-        return df.agg(F.array(*rows).alias("cells")).select(F.inline("cells"))
-
-    diagonal = [(x, x, F.when(F.stddev_samp(number(x)) > 0, F.lit(1.0))) for x in columns]
     pairs = list(combinations(columns, 2))
-    table = cells(diagonal)
-    for start in range(0, len(pairs), _PAIRS_PER_PASS):
-        entries = []
-        for x, y in pairs[start : start + _PAIRS_PER_PASS]:
-            r = coefficient(x, y)
-            entries += [(x, y, r), (y, x, r)]
-        table = table.unionByName(cells(entries))
-    return table
+    passes = [pairs[k : k + _PAIRS_PER_PASS] for k in range(0, len(pairs), _PAIRS_PER_PASS)]
+    cells = None
+    for some in passes or [[(columns[0], columns[0])]]:
+        figures = []
+        for x, y in some:
+            a, b = number(F.col(x)), number(F.col(y))
+            dev_x = F.stddev_samp(F.when(b.isNotNull(), a))
+            dev_y = F.stddev_samp(F.when(a.isNotNull(), b))
+            r = F.try_divide(F.covar_samp(a, b), dev_x * dev_y)
+            own = [(x, x, F.when(dev_x > 0, F.lit(1.0))), (y, y, F.when(dev_y > 0, F.lit(1.0)))]
+            both = [(x, y, r), (y, x, r)] if x != y else []
+            figures += [
+                F.struct(F.lit(i).alias("x"), F.lit(j).alias("y"), value.alias("r")) for i, j, value in own + both
+            ]
+        part = df.agg(F.array(*figures).alias("cells")).select(F.inline("cells"))
+        cells = part if cells is None else cells.unionByName(part)
+    return cells.groupBy("x", "y").agg(F.max("r").alias("r"))
 
 
 def histogram(

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import epoch_seconds, in_first_share
@@ -67,7 +68,8 @@ def split_by_time(
 
     A row on a cut belongs to the earlier part. The limits are computed by Spark, in
     the same clock as the rows, and reach them as a one-row scalar subquery. Where
-    many actions follow, pass the row of ``time_limits`` to compute them only once.
+    many actions follow, pass the row of ``time_limits`` to compute them only once; so
+    too where ``df`` has window functions, which the subquery would run again.
     """
     seconds = epoch_seconds(F.col(ts))
     if limits is None:
@@ -81,6 +83,28 @@ def split_by_time(
     )
 
 
+def within_split(split: str, limits: Mapping[str, int] | Row, ts: str = "ts") -> Column:
+    """The rows of one part as a range of ``ts`` between literals, which a scan can skip by."""
+
+    def after(second: int) -> Column:
+        moment = datetime(1970, 1, 1) + timedelta(seconds=second + 1)
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+    train_end, val_end = after(limits["train_end"]), after(limits["val_end"])
+    return {
+        "train": F.col(ts) < train_end,
+        "val": (F.col(ts) >= train_end) & (F.col(ts) < val_end),
+        "test": F.col(ts) >= val_end,
+    }[split]
+
+
+def split_ranges(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Rows and first and last timestamp per split, in one job."""
+    return df.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts")
+    )
+
+
 def split_sizes(df: DataFrame) -> DataFrame:
     """Rows per split, in one job."""
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))

@@ -9,6 +9,7 @@ exactly between two values of six places, and large percentages to two.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,19 +18,28 @@ from pyspark.sql import types as T
 
 from .. import operators as op
 from ..functions import calendar_parts, clock_hour, parse_date
-from ..operators.modelling import category_indexer
+from ..operators.modelling import (
+    FORECAST_SETTINGS,
+    HOUSEHOLD_SETTINGS,
+    assembler,
+    category_indexer,
+    fit_regressor,
+)
 from ..operators.series import FEATURES, REQUIRED
-from ..sources import preview_rows, read_parquet, written_once
+from ..sources import (
+    preview_rows,
+    read_csv_readings,
+    read_parquet,
+    shared_folder,
+    write_parquet,
+    write_single_csv,
+    written_once,
+)
 
 BOTH_DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy")
 
-# Smaller than the defaults: the catalogue shows that the fits work end to end.
-QUICK_SETTINGS = {
-    "linear": {"maxIter": 50},
-    "tree": {"maxDepth": 6, "minInstancesPerNode": 5, "seed": 42},
-    "forest": {"numTrees": 10, "maxDepth": 5, "seed": 42},
-    "gbt": {"maxIter": 5, "maxDepth": 4, "seed": 42},
-}
+# One set of settings per model: those of the forecast, and the household tree.
+SETTINGS = {**FORECAST_SETTINGS, "tree": HOUSEHOLD_SETTINGS["tree"]}
 
 NAIVE = {"last_hour": "lag_1", "last_day": "lag_24", "rolling": "rolling_mean_24"}
 
@@ -65,6 +75,7 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, ts = F.col("event_type"), F.col("ts")
     time = (
         F.when(kind == "click", F.date_format(ts, "HH:mm"))
+        .when((kind == "view") & (F.col("user_id") % 2 == 0), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
         .when(kind == "view", F.date_format(ts, "HH:mm:ss"))
         .when(kind == "purchase", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
         .when(kind == "signup", F.concat(F.lit(" "), F.date_format(ts, "HH:mm"), F.lit(" ")))
@@ -89,6 +100,13 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(*(c.alias(name) for name, c in columns.items()))
 
 
+def gappy_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The untidy export with NaN for some energies, which counts as missing."""
+    energy = F.col("Energy Consumption (kWh)")
+    gap = F.when(F.col("Home ID") % 50 == 7, F.lit(float("nan"))).otherwise(energy)
+    return raw_readings(spark, sf_dir).withColumn("Energy Consumption (kWh)", gap)
+
+
 def _household() -> tuple:
     return (
         F.expr("cast(get_json_object(props, '$.k') as int) * 0.5D - 5.0D").alias("outdoor_temperature"),
@@ -145,11 +163,11 @@ def _report(function: Callable) -> Callable:
 
 
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
-    return op.quality_report(raw_readings(spark, d), date_formats=BOTH_DATE_FORMATS)
+    return op.quality_report(gappy_readings(spark, d), date_formats=BOTH_DATE_FORMATS)
 
 
 def stage_counts(spark: SparkSession, d: str) -> DataFrame:
-    raw = raw_readings(spark, d)
+    raw = gappy_readings(spark, d)
     readings_ts = op.timestamped_readings(raw, BOTH_DATE_FORMATS)
     series = op.hourly_rollup(readings_ts, count_as="readings")
     return op.stage_counts(raw, op.featured_series(series, required=None))
@@ -269,7 +287,9 @@ def metric_mape(spark: SparkSession, d: str) -> DataFrame:
 
 
 def metric_table(spark: SparkSession, d: str) -> DataFrame:
-    series = op.split_by_time(naive_forecast(spark, d))
+    """The windows run once, for the stored series that the limits and metrics read."""
+    stored = written_once(naive_forecast(spark, d), "naive")
+    series = op.split_by_time(stored, limits=op.time_limits(stored).first())
     return rounded_metrics(op.metric_table(series, NAIVE, by=["split"]))
 
 
@@ -293,7 +313,7 @@ def compare_to_average(spark: SparkSession, d: str) -> DataFrame:
 def _forecast(*names: str) -> Callable:
     def query(spark: SparkSession, d: str) -> DataFrame:
         series = split_series(spark, d)
-        settings = {name: QUICK_SETTINGS[name] for name in names}
+        settings = {name: SETTINGS[name] for name in names}
         train = op.spread(series.filter("split = 'train'"), ["home_id", "ts"])
         fitted = op.fit_forecast(train, settings)
         return fitted.score(series.filter("split <> 'train'")).select(
@@ -323,7 +343,7 @@ def _household_models(spark: SparkSession, d: str, *names: str) -> tuple:
     """Stored readings with their split, and models fitted on the training part."""
     split = op.hash_split(written_once(plausible(spark, d), "clean"), ["event_id"])
     train = op.spread(split.filter("split = 'train'"), ["event_id"])
-    return split, op.fit_household(train, {name: QUICK_SETTINGS[name] for name in names})
+    return split, op.fit_household(train, {name: HOUSEHOLD_SETTINGS[name] for name in names})
 
 
 def household_holdout(spark: SparkSession, d: str) -> DataFrame:
@@ -350,6 +370,119 @@ def score_scenarios(spark: SparkSession, d: str) -> DataFrame:
     return rounded(op.score_scenarios(fitted.pipeline("tree"), scenarios, averages))
 
 
+def scenario_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Scored scenarios without what depends on the tree."""
+    scored = score_scenarios(spark, d)
+    return scored.select("event_id", "appliance_type", "group_average", F.col("prediction").isNull().alias("missing"))
+
+
+# --- models with an exact result ---------------------------------------------
+
+
+def linear_one_feature(spark: SparkSession, d: str) -> DataFrame:
+    """The forecast's linear model on one feature is the least-squares line."""
+    series = split_series(spark, d)
+    train = op.spread(series.filter("split = 'train'"), ["home_id", "ts"])
+    steps, model = fit_regressor(train, [assembler(["lag_24"])], "consumption", "linear", FORECAST_SETTINGS["linear"])
+    scored = model.transform(steps.transform(series.filter("split <> 'train'")))
+    return rounded(scored.select("home_id", "ts", "split", "prediction"), 5)
+
+
+def by_appliance_model(name: str) -> Callable:
+    """A tree model on the appliance alone, with full settings, predicts the training mean of
+    each appliance; the forest does so without resampling its rows."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        stored = written_once(plausible(spark, d), "clean")
+        train = op.spread(stored, ["event_id"])
+        indexer = category_indexer({"appliance_type": "appliance_index"})
+        settings = {**HOUSEHOLD_SETTINGS[name], **({"bootstrap": False} if name == "forest" else {})}
+        steps, model = fit_regressor(
+            train, [indexer, assembler(["appliance_index"])], "energy_consumption", name, settings
+        )
+        scored = model.transform(steps.transform(stored))
+        return rounded(scored.groupBy("appliance_type").agg(F.min("prediction").alias("low"), F.max("prediction").alias("high")), 5)
+
+    return query
+
+
+def _checks(scored: DataFrame, train: DataFrame, label: str, models: dict[str, str]) -> DataFrame:
+    """Per model: rows scored, predictions missing, and, for trees, outside the training labels."""
+    ends = train.agg(F.min(label).alias("low"), F.max(label).alias("high")).select(F.struct("low", "high").alias("ends")).scalar()
+    parts = [
+        F.struct(F.lit(name).alias("model"), F.col(column).alias("prediction"), F.lit(name in ("tree", "forest")).alias("bounded"))
+        for name, column in models.items()
+    ]
+    outside = F.col("bounded") & ((F.col("prediction") < ends["low"] - 1e-9) | (F.col("prediction") > ends["high"] + 1e-9))
+    return (
+        scored.select(F.inline(F.array(*parts)))
+        .groupBy("model")
+        .agg(
+            F.count(F.lit(1)).alias("rows_scored"),
+            F.count_if(F.col("prediction").isNull()).alias("missing"),
+            F.count_if(outside).alias("outside"),
+        )
+    )
+
+
+def forecast_checks(spark: SparkSession, d: str) -> DataFrame:
+    series = split_series(spark, d)
+    train = op.spread(series.filter("split = 'train'"), ["home_id", "ts"])
+    fitted = op.fit_forecast(train)
+    scored = fitted.score(series.filter("split <> 'train'"))
+    return _checks(scored, train, "consumption", fitted.predictions())
+
+
+def household_checks(spark: SparkSession, d: str) -> DataFrame:
+    split, fitted = _household_models(spark, d, "gbt", "tree", "forest")
+    scored = fitted.score(split.filter("split = 'test'"))
+    return _checks(scored, split.filter("split = 'train'"), "energy_consumption", fitted.predictions())
+
+
+# --- sources and sinks -------------------------------------------------------
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/hearthwatt-{name}-{uuid.uuid4().hex}"
+
+
+def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The untidy export written as CSV and read with the declared schema. Blank ends of the
+    time text and empty dates are what CSV doesn't keep."""
+    path = _new_folder(spark, "csv")
+    raw_readings(spark, d).write.option("header", True).csv(path)
+    read = op.rename_readings(read_csv_readings(spark, path))
+    return rounded(read.withColumns({"time": F.trim("time"), "date": F.nullif(F.col("date"), F.lit(""))}))
+
+
+def parquet_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Readings written into folders by appliance and read back."""
+    path, df = _new_folder(spark, "parquet"), readings(spark, d)
+    write_parquet(df, path, partition_by=["appliance_type"], rebalance=True)
+    return rounded(read_parquet(spark, path, df.schema))
+
+
+def single_csv_sink(spark: SparkSession, d: str) -> DataFrame:
+    path = _new_folder(spark, "single")
+    write_single_csv(rounded(op.by_appliance(plausible(spark, d))), path)
+    schema = "appliance_type string, count long, avg_consumption double, total_consumption double"
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def predictions_sink(spark: SparkSession, d: str) -> DataFrame:
+    """The naive forecast of a day ago in the form that the forecast job stores."""
+    path = _new_folder(spark, "predictions")
+    scored = naive_forecast(spark, d).select("home_id", "ts", "label", F.col("lag_24").alias("prediction"))
+    write_parquet(scored, path)
+    return rounded(read_parquet(spark, path, scored.schema))
+
+
+def typed_timestamps(spark: SparkSession, d: str) -> DataFrame:
+    """Date and time columns that are timestamps already."""
+    df = events(spark, d).select("event_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("date"), F.col("ts").alias("time"))
+    return op.with_timestamp(df).select("event_id", "ts")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # scans, selection, cleaning
     "scan_parquet": events,
@@ -388,6 +521,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "by_hour": _report(op.by_hour),
     "by_household_size": _report(op.by_household_size),
     "by_date_hour": _report(op.by_date_hour),
+    "by_date_hour_first": _report(lambda df: op.by_date_hour(df, n=100)),
     "profile_all": _report(op.profile_all),
     "headline": _report(op.headline),
     "describe_numeric": _report(op.describe_numeric),
@@ -420,6 +554,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_mape": metric_mape,
     "metric_table": metric_table,
     "best_model": best_model,
+    # sources and sinks
+    "csv_round_trip": csv_round_trip,
+    "parquet_round_trip": parquet_round_trip,
+    "single_csv_sink": single_csv_sink,
+    "predictions_sink": predictions_sink,
+    "typed_timestamps": typed_timestamps,
+    # models with an exact result
+    "linear_one_feature": linear_one_feature,
+    "tree_by_appliance": by_appliance_model("tree"),
+    "gbt_by_appliance": by_appliance_model("gbt"),
+    "forest_by_appliance": by_appliance_model("forest"),
+    "forecast_checks": forecast_checks,
+    "household_checks": household_checks,
+    "forecast_preview_keys": lambda s, d: forecast_preview(s, d).drop("prediction"),
+    "scenario_keys": scenario_keys,
     # models (no SQL twin)
     "forecast_linear": _forecast("linear"),
     "forecast_tree": _forecast("tree"),

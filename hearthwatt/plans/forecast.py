@@ -3,7 +3,8 @@
     python -m hearthwatt.plans.forecast SOURCE OUTPUT
 
 Written under the output folder: ``features``, ``holdout``, ``metrics``,
-``metrics_summary`` (one CSV file), ``quality``, ``models/<best>``, ``predictions``.
+``metrics_summary`` (one CSV file), ``quality``, ``splits`` (rows and time range of
+each part), ``models/<best>``, ``predictions``.
 """
 
 from __future__ import annotations
@@ -23,15 +24,18 @@ from ..operators import (
     metric_table,
     save_model,
     split_by_time,
+    split_ranges,
     spread,
     stage_counts,
     time_limits,
     timestamped_readings,
+    within_split,
 )
-from ..operators.modelling import FORECAST_SETTINGS
+from ..operators.modelling import FORECAST_SETTINGS, TRAINING_PARTITIONS
 from ..operators.series import FEATURES, LABEL
 from ..schema import METRICS_SUMMARY
 from ..sources import read_parquet, write_parquet, write_single_csv
+from .running import add_job_arguments, job_session, needs_checkpoints
 
 
 def run_forecast(
@@ -43,15 +47,18 @@ def run_forecast(
     include_current: bool = False,
     date_formats: Sequence[str] = (ISO_DATE,),
     parallelism: int = 1,
+    training_partitions: int = TRAINING_PARTITIONS,
 ) -> str:
     """Runs the whole forecast and returns the name of the chosen model.
 
     The featured hourly table is written once; counts, bounds, fits and scoring read
-    it, so raw readings are scanned a single time. It keeps the hours that lack a
+    it. Raw readings are read for it, and once more, without columns, to count them.
+    Training rows are a range of timestamps, which the scan skips by. The table keeps the hours that lack a
     feature and the number of readings per hour, from which the rows after each stage
     are counted. ``include_current=True`` lets the rolling features see the hour to be
     forecast; it is off, and the metrics table says which was used.
     """
+    needs_checkpoints(spark, settings)
     raw = read_parquet(spark, source)
     hourly = hourly_rollup(timestamped_readings(raw, date_formats), count_as="readings")
     featured = featured_series(hourly, by, include_current, required=None)
@@ -61,11 +68,13 @@ def run_forecast(
     write_parquet(stage_counts(raw, stored, required), f"{output}/quality")
 
     usable = stored.dropna(subset=list(required))
-    series = split_by_time(usable, limits=time_limits(usable).first())
-    train = spread(series.filter("split = 'train'"), ["home_id", "ts"])
+    limits = time_limits(usable).first()
+    series = split_by_time(usable, limits=limits)
+    write_parquet(split_ranges(series), f"{output}/splits")
+    train = spread(usable.filter(within_split("train", limits)), ["home_id", "ts"], training_partitions)
     fitted = fit_forecast(train, settings, parallelism=parallelism)
 
-    scored = fitted.score(series.filter("split <> 'train'"))
+    scored = fitted.score(series.filter(~within_split("train", limits)))
     columns = fitted.predictions()
     holdout = scored.select("home_id", "ts", F.col(LABEL).alias("label"), *columns.values(), "split")
     write_parquet(holdout, f"{output}/holdout", partition_by=["split"])
@@ -105,13 +114,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--by", choices=("rows", "time"), default="rows")
     parser.add_argument("--include-current", action="store_true")
     parser.add_argument("--date-format", action="append", dest="date_formats")
-    parser.add_argument("--parallelism", type=int, default=1, help="models fitted at the same time")
+    add_job_arguments(parser)
     args = parser.parse_args(argv)
-    spark = (
-        SparkSession.builder.appName("hearthwatt-forecast")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    spark = job_session("hearthwatt-forecast", args.checkpoint_dir)
     best = run_forecast(
         spark,
         args.source,
@@ -120,6 +125,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         include_current=args.include_current,
         date_formats=args.date_formats or (ISO_DATE,),
         parallelism=args.parallelism,
+        training_partitions=args.training_partitions,
     )
     print(f"chosen model: {best}")
 

@@ -3,7 +3,7 @@
     python -m hearthwatt.plans.household SOURCE OUTPUT [--format csv|parquet]
 
 Written under the output folder: ``clean``, ``quality``, ``schema``,
-``reports/<name>``, ``averages``, ``holdout``, ``metrics``, ``models/<name>`` and,
+``reports/<name>``, ``averages``, ``split`` (by split), ``holdout``, ``metrics``, ``models/<name>`` and,
 where scenarios are given, ``scenarios``.
 """
 
@@ -15,14 +15,15 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.parsing import ISO_DATE
 from ..operators import (
-    average_by,
     best_model_name,
     by_date_hour,
     clean_readings,
     correlation,
     describe_numeric,
     fit_household,
+    from_profile,
     hash_sample,
     hash_split,
     headline,
@@ -33,10 +34,9 @@ from ..operators import (
     quality_report,
     save_model,
     score_scenarios,
-    season_share,
     spread,
 )
-from ..operators.modelling import HOUSEHOLD_NUMBERS, HOUSEHOLD_SETTINGS
+from ..operators.modelling import HOUSEHOLD_NUMBERS, HOUSEHOLD_SETTINGS, TRAINING_PARTITIONS
 from ..operators.profiling import ENERGY
 from ..schema import READING_NAMES, SCENARIO
 from ..sources import (
@@ -46,6 +46,7 @@ from ..sources import (
     schema_report,
     write_parquet,
 )
+from .running import add_job_arguments, job_session, needs_checkpoints
 
 # What identifies a clean reading: all stored columns, as repeats are removed.
 KEYS = tuple(READING_NAMES.values())
@@ -56,8 +57,6 @@ SCATTER_SHARE = 0.01
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "headline": headline,
     "describe": describe_numeric,
-    "profile": profile_all,
-    "season_share": season_share,
     "by_date_hour": by_date_hour,
     "correlation": correlation,
     "histogram": histogram,
@@ -68,22 +67,49 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def clean_table(spark: SparkSession, source: str, output: str, file_format: str) -> DataFrame:
+# The reports that follow from the profile, and their dimension in it.
+PROFILED = {
+    "by_appliance": "appliance_type",
+    "by_season": "season",
+    "by_hour": "hour",
+    "by_household_size": "household_size",
+}
+
+
+def clean_table(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    file_format: str,
+    date_formats: Sequence[str] = (ISO_DATE,),
+) -> DataFrame:
     """Cleans the source once and returns the stored clean table."""
     read = read_csv_readings if file_format == "csv" else read_parquet
     raw = read(spark, source)
-    write_parquet(quality_report(raw), f"{output}/quality")
-    clean = clean_readings(raw)
+    write_parquet(quality_report(raw, date_formats=date_formats), f"{output}/quality")
+    clean = clean_readings(raw, date_formats=date_formats)
     write_parquet(clean, f"{output}/clean")
     write_parquet(schema_report(clean), f"{output}/schema")
     return read_parquet(spark, f"{output}/clean", clean.schema)
 
 
 def write_reports(clean: DataFrame, output: str) -> None:
-    """Every report from the clean table; each reads only the columns it needs."""
+    """Every report. Each scan of the clean table reads only the columns it needs; the
+    reports per appliance, season, hour and household size follow from the stored profile."""
     for name, report in REPORTS.items():
         write_parquet(report(clean), f"{output}/reports/{name}")
-    write_parquet(average_by(clean), f"{output}/averages")
+    write_parquet(profile_all(clean), f"{output}/reports/profile")
+    profile = read_parquet(clean.sparkSession, f"{output}/reports/profile")
+    for name, dimension in PROFILED.items():
+        write_parquet(from_profile(profile, dimension), f"{output}/reports/{name}")
+    seasons, appliances = (profile.filter(F.col("dimension") == d) for d in ("season", "appliance_type"))
+    total = seasons.agg(F.sum("count").alias("total")).scalar()
+    share = seasons.select(F.col("value").alias("season"), "count", (F.col("count") / total).alias("share"))
+    write_parquet(share, f"{output}/reports/season_share")
+    averages = appliances.select(
+        F.col("value").alias("appliance_type"), F.col("avg_consumption").alias("group_average")
+    )
+    write_parquet(averages, f"{output}/averages")
 
 
 def train_models(
@@ -91,11 +117,18 @@ def train_models(
     output: str,
     settings: Mapping[str, Mapping] = HOUSEHOLD_SETTINGS,
     parallelism: int = 1,
+    training_partitions: int = TRAINING_PARTITIONS,
 ) -> str:
-    """Fits, scores and saves the models; returns the one with the highest test R2."""
+    """Fits, scores and saves the models; returns the one with the highest test R2.
+
+    The split is drawn once and stored as folders, so each fit reads the training rows alone.
+    """
     spark = clean.sparkSession
-    split = hash_split(clean.dropna(subset=[ENERGY, *HOUSEHOLD_NUMBERS]), KEYS, portable=False)
-    train = spread(split.filter("split = 'train'"), KEYS)
+    needs_checkpoints(spark, settings)
+    drawn = hash_split(clean.dropna(subset=[ENERGY, *HOUSEHOLD_NUMBERS]), KEYS, portable=False)
+    write_parquet(drawn, f"{output}/split", partition_by=["split"])
+    split = read_parquet(spark, f"{output}/split", drawn.schema)
+    train = spread(split.filter("split = 'train'"), KEYS, training_partitions)
     fitted = fit_household(train, settings, parallelism=parallelism)
     columns = fitted.predictions()
     holdout = fitted.score(split.filter("split = 'test'")).select(
@@ -128,14 +161,16 @@ def run_household(
     scenarios: DataFrame | None = None,
     model: str | None = None,
     parallelism: int = 1,
+    date_formats: Sequence[str] = (ISO_DATE,),
+    training_partitions: int = TRAINING_PARTITIONS,
 ) -> str:
     """Cleans, reports, trains and scores; returns the best model's name.
 
     Scenarios are scored with ``model``, or with the best one if none is named.
     """
-    clean = clean_table(spark, source, output, file_format)
+    clean = clean_table(spark, source, output, file_format, date_formats)
     write_reports(clean, output)
-    best = train_models(clean, output, settings, parallelism)
+    best = train_models(clean, output, settings, parallelism, training_partitions)
     if scenarios is not None:
         write_parquet(score_file(spark, scenarios, output, model or best), f"{output}/scenarios")
     return best
@@ -148,13 +183,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--format", choices=("csv", "parquet"), default="csv", dest="file_format")
     parser.add_argument("--scenarios", help="CSV file of scenarios with a header line")
     parser.add_argument("--model", choices=tuple(HOUSEHOLD_SETTINGS))
-    parser.add_argument("--parallelism", type=int, default=1, help="models fitted at the same time")
+    parser.add_argument("--date-format", action="append", dest="date_formats")
+    add_job_arguments(parser)
     args = parser.parse_args(argv)
-    spark = (
-        SparkSession.builder.appName("hearthwatt-household")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    spark = job_session("hearthwatt-household", args.checkpoint_dir)
     scenarios = read_csv_readings(spark, args.scenarios, SCENARIO) if args.scenarios else None
     best = run_household(
         spark,
@@ -164,6 +196,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         scenarios=scenarios,
         model=args.model,
         parallelism=args.parallelism,
+        date_formats=args.date_formats or (ISO_DATE,),
+        training_partitions=args.training_partitions,
     )
     print(f"best model: {best}")
 

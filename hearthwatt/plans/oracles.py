@@ -24,7 +24,7 @@ raw AS (
   SELECT user_id AS home_id, nullif(event_type, 'error') AS appliance_type, value AS energy_consumption,
     CASE event_type
       WHEN 'click' THEN strftime(ts, '%H:%M')
-      WHEN 'view' THEN strftime(ts, '%H:%M:%S')
+      WHEN 'view' THEN CASE WHEN user_id % 2 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%H:%M:%S') END
       WHEN 'purchase' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
       WHEN 'signup' THEN ' ' || strftime(ts, '%H:%M') || ' '
       ELSE 'n/a' END AS time,
@@ -35,9 +35,13 @@ raw AS (
     nullif(outdoor_temperature, -5.0) AS outdoor_temperature, season, household_size
   FROM household)"""
 
+# NaN energies, which are missing values.
+_GAPPY = f"""{_RAW}, gappy AS (
+  SELECT * REPLACE (CASE WHEN home_id % 50 <> 7 THEN energy_consumption END AS energy_consumption) FROM raw)"""
+
 _ISO = "try_strptime(date, '%Y-%m-%d')::date"
 _ANY_DATE = f"coalesce({_ISO}, try_strptime(date, '%d/%m/%Y')::date)"
-_CLOCK_TEXT = "CASE WHEN length(trim(time)) > 8 THEN split_part(trim(time), ' ', 2) ELSE trim(time) END"
+_CLOCK_TEXT = "CASE WHEN length(trim(time)) > 8 THEN split_part(replace(trim(time), 'T', ' '), ' ', 2) ELSE trim(time) END"
 _HOUR = f"TRY_CAST(split_part({_CLOCK_TEXT}, ':', 1) AS INT)"
 _TS = f"""try_strptime(strftime({_ANY_DATE}, '%Y-%m-%d') || ' ' || {_CLOCK_TEXT}
       || CASE WHEN length({_CLOCK_TEXT}) = 5 THEN ':00' ELSE '' END, '%Y-%m-%d %H:%M:%S')"""
@@ -98,6 +102,14 @@ split AS (
   FROM {source} s CROSS JOIN bounds)"""
 
 
+def _trained() -> str:
+    """Rows with every feature, and their part."""
+    complete = " AND ".join(
+        f"{c} IS NOT NULL" for c in ("rolling_std_24", "outdoor_temp", "household_size", "hour", "month")
+    )
+    return f"complete AS (SELECT * FROM usable WHERE {complete}), " + _split("complete")
+
+
 def _r(expression: str, name: str, places: int = 6) -> str:
     return f"round({expression}, {places}) + 0.0 AS {name}"
 
@@ -174,14 +186,14 @@ ORACLES: dict[str, str] = {
     "filter_parsed_ts": f"""WITH {_RAW} SELECT home_id, {_TS} AS ts,
   round(energy_consumption, 6) AS energy_consumption, round(outdoor_temperature, 6) AS outdoor_temperature,
   household_size::double AS household_size FROM raw WHERE {_TS} IS NOT NULL""",
-    "quality_report": f"""WITH {_RAW} SELECT count(*)::bigint AS rows_in,
+    "quality_report": f"""WITH {_GAPPY} SELECT count(*)::bigint AS rows_in,
   count(*) FILTER (WHERE NOT ({_NO_NULL}))::bigint AS rows_with_null,
   count(*) FILTER (WHERE {_ANY_DATE} IS NULL)::bigint AS unparsed_date,
   count(*) FILTER (WHERE {_HOUR} IS NULL)::bigint AS unparsed_hour,
   count(*) FILTER (WHERE {_TS} IS NULL)::bigint AS unparsed_ts,
   count(*) FILTER (WHERE energy_consumption <= 0 OR energy_consumption >= 20)::bigint AS out_of_range
-  FROM raw""",
-    "stage_counts": f"""WITH {_RAW}, stamped AS (SELECT * FROM (SELECT *, {_TS} AS ts FROM raw) WHERE ts IS NOT NULL),
+  FROM gappy""",
+    "stage_counts": f"""WITH {_GAPPY}, stamped AS (SELECT * FROM (SELECT *, {_TS} AS ts FROM gappy) WHERE ts IS NOT NULL),
   {_hourly('stamped')}, {_featured(_WITH_CURRENT)}
   SELECT (SELECT count(*) FROM raw)::bigint AS rows_in, (SELECT sum(readings) FROM hourly)::bigint AS rows_parsed,
   (SELECT count(*) FROM hourly)::bigint AS rows_hourly, (SELECT count(*) FROM usable)::bigint AS rows_featured""",
@@ -215,7 +227,8 @@ ORACLES: dict[str, str] = {
     ),
     "by_hour": _report(f"hour, {_MEAN}", "GROUP BY 1"),
     "by_household_size": _report(f"household_size, count(*)::bigint AS count, {_MEAN}", "GROUP BY 1"),
-    "by_date_hour": _report(f"date, hour, {_MEAN}", "GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 500"),
+    "by_date_hour": _report(f"date, hour, {_MEAN}", "GROUP BY 1, 2"),
+    "by_date_hour_first": _report(f"date, hour, {_MEAN}", "GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100"),
     "profile_all": f"WITH {_PLAUSIBLE} "
     + " UNION ALL ".join(map(_profile, ("appliance_type", "season", "hour", "household_size"))),
     "headline": _report(
@@ -309,4 +322,43 @@ ORACLES: dict[str, str] = {
     "best_model": f"""WITH {_NAIVE}, {_NAIVE_MODELS.format('usable')}
   SELECT model, {_r('sqrt(avg((consumption - prediction) * (consumption - prediction)))', 'rmse')}
   FROM pairs GROUP BY 1 ORDER BY 2, 1 LIMIT 1""",
+    # sources and sinks
+    "csv_round_trip": f"""WITH {_RAW} SELECT {_RENAMED.replace('time, date', "trim(time) AS time, nullif(date, '') AS date")}
+  FROM raw""",
+    "parquet_round_trip": f"""WITH {_READINGS}
+  SELECT * REPLACE (round(energy_consumption, 6) AS energy_consumption) FROM readings""",
+    "single_csv_sink": _report(
+        f"appliance_type, count(energy_consumption)::bigint AS count, {_MEAN}, "
+        + _r("sum(energy_consumption)", "total_consumption"),
+        "GROUP BY 1",
+    ),
+    "predictions_sink": f"""WITH {_NAIVE} SELECT home_id, ts, round(consumption, 6) AS label,
+  round(lag_24, 6) AS prediction FROM usable""",
+    "typed_timestamps": "SELECT event_id, date_trunc('second', ts)::timestamp AS ts FROM events",
+    # models with an exact result
+    "linear_one_feature": f"""WITH {_NAIVE}, {_trained()}, line AS (
+  SELECT regr_slope(consumption, lag_24) AS slope, regr_intercept(consumption, lag_24) AS base
+  FROM split WHERE split = 'train')
+  SELECT home_id, ts, split, {_r('base + slope * lag_24', 'prediction', 5)} FROM split CROSS JOIN line
+  WHERE split <> 'train'""",
+    **{
+        f"{model}_by_appliance": _report(
+            f"appliance_type, {_r('avg(energy_consumption)', 'low', 5)}, {_r('avg(energy_consumption)', 'high', 5)}",
+            "GROUP BY 1",
+        )
+        for model in ("tree", "gbt", "forest")
+    },
+    "forecast_checks": f"""WITH {_NAIVE}, {_trained()}
+  SELECT model, count(*)::bigint AS rows_scored, 0::bigint AS missing, 0::bigint AS outside
+  FROM split CROSS JOIN (SELECT unnest(['linear', 'forest', 'gbt']) AS model) WHERE split <> 'train' GROUP BY 1""",
+    "household_checks": f"""WITH {_PLAUSIBLE}
+  SELECT model, count(*)::bigint AS rows_scored, 0::bigint AS missing, 0::bigint AS outside
+  FROM plausible CROSS JOIN (SELECT unnest(['gbt', 'tree', 'forest']) AS model)
+  WHERE NOT ({_below('cccccccd')}) GROUP BY 1""",
+    "forecast_preview_keys": f"""WITH {_NAIVE}, {_trained()}
+  SELECT home_id, ts, consumption AS label FROM split WHERE split = 'test' ORDER BY ts, home_id LIMIT 10""",
+    "scenario_keys": f"""WITH {_PLAUSIBLE}, averages AS (
+  SELECT appliance_type, avg(energy_consumption) AS group_average FROM plausible GROUP BY 1)
+  SELECT event_id, appliance_type, {_r('group_average', 'group_average')}, false AS missing
+  FROM plausible JOIN averages USING (appliance_type)""",
 }

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,29 +28,35 @@ def write_single_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def written_once(df: DataFrame, name: str) -> DataFrame:
+_written: list[str] = []
+
+
+def written_once(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Compute ``df`` once into a shared Parquet table and read it back.
 
     Iterative fits read their input many times. A written table survives the loss
-    of executors, cuts the lineage, and still prunes columns; it lies under the
-    folder the cluster names in ``spark.checkpoint.dir``.
+    of executors, cuts the lineage, and still prunes columns. It is written when this
+    is called, under ``path`` or a new name in the shared folder; ``delete_written``
+    removes the tables without a ``path`` when their results are no longer needed.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/hearthwatt-{name}-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{shared_folder(spark)}/hearthwatt-{name}-{uuid.uuid4().hex}"
+        _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _own_folder()
+def delete_written(spark: SparkSession) -> None:
+    """Delete all tables that ``written_once`` named itself."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
-@cache
-def _own_folder() -> str:
-    """For local runs only, where one machine is the whole cluster."""
-    return tempfile.mkdtemp(prefix="hearthwatt-")
+def shared_folder(spark: SparkSession) -> str:
+    """What the session names: ``spark.checkpoint.dir``, or where that is unset, as in a local
+    session, its warehouse folder. Never a temporary folder of one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

@@ -5,7 +5,7 @@ import pytest
 
 from hearthwatt.operators import hourly_rollup
 from hearthwatt.plans.forecast import run_forecast
-from hearthwatt.plans.household import REPORTS, run_household
+from hearthwatt.plans.household import PROFILED, REPORTS, run_household
 from hearthwatt.schema import METRICS_SUMMARY, RAW_READING, SCENARIO
 from hearthwatt.sources import literal_rows
 
@@ -53,6 +53,10 @@ def test_forecast_job(spark, raw, tmp_path):
     assert summary[0]["test_rmse"] == pytest.approx(metrics[best, "test"]["rmse"])
     assert not metrics[best, "val"]["features_include_current"]
 
+    splits = {r["split"]: r for r in spark.read.parquet(f"{out}/splits").collect()}
+    assert sum(r["rows"] for r in splits.values()) == quality["rows_featured"]
+    assert splits["train"]["max_ts"] < splits["val"]["min_ts"] <= splits["test"]["min_ts"]
+
     predictions = spark.read.parquet(f"{out}/predictions")
     assert predictions.columns == ["home_id", "ts", "label", "prediction"]
     assert predictions.count() == metrics[best, "test"]["rows"]
@@ -76,6 +80,14 @@ def test_household_job(spark, raw, tmp_path):
     assert spark.read.parquet(f"{out}/schema").count() == 13
     for name in REPORTS:
         assert spark.read.parquet(f"{out}/reports/{name}").count() > 0 or name == "scatter"
+    for name, column in PROFILED.items():
+        rows = spark.read.parquet(f"{out}/reports/{name}").collect()
+        assert {column} <= set(rows[0].asDict())
+    totals = [r["total_consumption"] for r in spark.read.parquet(f"{out}/reports/by_appliance").collect()]
+    assert totals == sorted(totals, reverse=True)
+    hours = [r["hour"] for r in spark.read.parquet(f"{out}/reports/by_hour").collect() if r["hour"] is not None]
+    assert hours == sorted(hours) and len(hours) == 24
+    assert spark.read.parquet(f"{out}/split").columns[-1] == "split"
     metrics = {r["model"]: r for r in spark.read.parquet(f"{out}/metrics").collect()}
     assert set(metrics) == set(settings)
     assert metrics[best]["r2"] == max(r["r2"] for r in metrics.values())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import daily_cycle, series
 from hearthwatt.operators import (
     average_by,
+    check_categories,
     featured_series,
     fit_forecast,
     fit_household,
@@ -19,6 +20,7 @@ from hearthwatt.operators import (
     split_by_time,
     spread,
 )
+from hearthwatt.operators.modelling import TRAINING_PARTITIONS
 from hearthwatt.operators.series import FEATURES
 
 QUICK = {
@@ -185,7 +187,15 @@ def test_household_models_and_scenarios(spark, household, tmp_path, parallelism)
     assert rows[3]["prediction"] is None and rows[3]["group_average"] is not None
 
 
-def test_spread_only_widens(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10).coalesce(1), ["id"]).rdd.getNumPartitions() == cores
-    assert spread(spark.range(0, 10, 1, cores + 3), ["id"]).rdd.getNumPartitions() == cores + 3
+def test_spread_does_not_follow_from_the_files(spark):
+    few, many = spark.range(100).coalesce(1), spark.range(0, 100, 1, 16)
+    counts = {spread(df, ["id"]).rdd.getNumPartitions() for df in (few, many)}
+    assert counts == {TRAINING_PARTITIONS}
+    assert spread(few, ["id"], 3).rdd.getNumPartitions() == 3
+
+
+def test_too_many_categories_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr("hearthwatt.operators.modelling.MOST_CATEGORIES", 3)
+    df = spark.range(5).selectExpr("cast(id as string) AS appliance_type", "'a' AS season")
+    with pytest.raises(ValueError, match="appliance_type has 5 labels"):
+        check_categories(df)

@@ -99,3 +99,36 @@ def test_same_result_for_any_partitioning(spark, name):
         spark_result(catalogue.rounded(INVARIANT[name](df.repartition(parts)))) for parts in (1, 4, 16)
     ]
     assert results[0] == results[1] == results[2]
+
+
+def test_correlation_reads_the_table_once(spark):
+    assert plan(catalogue.QUERIES["correlation"](spark, SF_DIR)).count("FileScan") == 1
+
+
+def test_metric_table_runs_its_windows_once(spark):
+    assert plan(catalogue.QUERIES["metric_table"](spark, SF_DIR)).count("Window [") <= 1
+
+
+def test_training_rows_of_the_forecast_are_a_pushed_range(spark, tmp_path):
+    stored = catalogue.written_once(catalogue.hourly(spark, SF_DIR), "series", str(tmp_path / "series"))
+    limits = op.time_limits(stored).first()
+    train = stored.filter(op.within_split("train", limits))
+    assert "LessThan(ts," in plan(train)
+    split = op.split_by_time(stored, limits=limits)
+    for name in ("train", "val", "test"):
+        assert stored.filter(op.within_split(name, limits)).count() == split.filter(f"split = '{name}'").count()
+
+
+def test_training_rows_of_the_household_are_a_folder(spark, tmp_path):
+    drawn = op.hash_split(catalogue.plausible(spark, SF_DIR), ["event_id"])
+    drawn.write.partitionBy("split").parquet(str(tmp_path / "split"))
+    train = spark.read.parquet(str(tmp_path / "split")).filter("split = 'train'")
+    assert "PartitionFilters: [isnotnull(split" in plan(train)
+
+
+def test_rows_featured_are_the_rows_kept(spark):
+    raw = catalogue.gappy_readings(spark, SF_DIR)
+    stamped = op.timestamped_readings(raw, catalogue.BOTH_DATE_FORMATS)
+    hourly = op.hourly_rollup(stamped, count_as="readings")
+    counts = op.stage_counts(raw, op.featured_series(hourly, required=None)).first()
+    assert counts["rows_featured"] == op.featured_series(hourly).count()
