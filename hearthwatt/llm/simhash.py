@@ -123,14 +123,16 @@ def simhash_components(
 
 
 #: For near-duplicates by similarity: hash seeds, of 64 fingerprint bits each.
-SIMILAR_SEEDS = (42, 43)
+SIMILAR_SEEDS = (42, 43, 44)
 SIMILAR_BITS = 64 * len(SIMILAR_SEEDS)
-#: Bits of a segment: so many more than the binary logarithm of the number of texts, and 24 at
-#: least. Buckets then stay small as a corpus grows.
-SEGMENT_MARGIN, LEAST_SEGMENT = 6, 24
+#: Segments of a fingerprint at most.
+SEGMENTS = 6
+#: Bits of a segment: so many more than the binary logarithm of the number of texts, and 18 at
+#: least. Chance meetings in a bucket then stay as rare as a corpus grows.
+SEGMENT_MARGIN, LEAST_SEGMENT = 8, 18
 #: Complete distance up to which a pair is compared in full. Texts with four fifths of their
-#: five-word shingles in common differ in 15 bits on average, with a deviation of under 4.
-SIMILAR_DISTANCE = 28
+#: five-word shingles in common differ in 22 bits on average, with a deviation of under 5.
+SIMILAR_DISTANCE = 40
 #: Words of a shingle, and the share of common shingles of near-duplicates.
 SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
 #: Times that texts which met others, but found no partner, choose again.
@@ -143,9 +145,13 @@ def similarity(one: str, other: str, size: int = SIMILAR_SHINGLE) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
+def _segments(bits: int) -> int:
+    return min(SEGMENTS, SIMILAR_BITS // bits)
+
+
 def _segmented(rows: DataFrame, bits: int) -> DataFrame:
     """``copy``, ``id``, 64-bit words of the fingerprint and the values of its segments."""
-    mask, count = (1 << bits) - 1, SIMILAR_BITS // bits
+    mask, count = (1 << bits) - 1, _segments(bits)
 
     def compute(rows):
         words = [simhash(t, 3, SIMILAR_SEEDS) for t in rows["text"]]
@@ -159,9 +165,10 @@ def _segmented(rows: DataFrame, bits: int) -> DataFrame:
 
 
 def _met(left: DataFrame, bits: int) -> DataFrame:
-    """Pairs of ``copy`` keys that share a value of some segment's ball. Each text meets the
-    smallest and the largest key of a bucket, not all others: a group of very many near copies
-    gives a few pairs for each of them."""
+    """Pairs of ``copy`` keys that share a value of some segment's ball. Each text meets two of
+    a bucket, not all others: that with most exact copies, which is often what the others were
+    made from, and the smallest key. A group of very many near copies so gives a few pairs for
+    each of them."""
     flips = [F.lit(0).cast("long")] + [F.lit(1 << k).cast("long") for k in range(bits)]
 
     def around(k: int) -> Column:
@@ -169,13 +176,28 @@ def _met(left: DataFrame, bits: int) -> DataFrame:
             F.array(*flips), lambda flip: F.get("segments", F.lit(k)).bitwiseXOR(flip) + F.lit(k << bits)
         )
 
-    balls = F.concat(*[around(k) for k in range(SIMILAR_BITS // bits)])
-    keys = left.select("copy", F.explode(balls).alias("key"))
-    ends = keys.groupBy("key").agg(F.min("copy").alias("low"), F.max("copy").alias("high")).where("low < high")
-    pairs = keys.join(ends, "key").select("copy", F.explode(F.array("low", "high")).alias("end")).where("copy <> end")
+    balls = F.concat(*[around(k) for k in range(_segments(bits))])
+    rank = F.least("n", F.lit(1 << 20)) * F.lit(1 << 40) + F.pmod("copy", F.lit(1 << 40))
+    keys = left.select("copy", rank.alias("rank"), F.explode(balls).alias("key"))
+    ends = (
+        keys.groupBy("key")
+        .agg(F.count("*").alias("n"), F.min("copy").alias("low"), F.max_by("copy", "rank").alias("lead"))
+        .where("n > 1")
+    )
+    ends = ends.select("key", "low", "lead")
+    pairs = keys.select("copy", "key").join(ends, "key")
+    pairs = pairs.select("copy", F.explode(F.array_distinct(F.array("low", "lead"))).alias("end")).where("copy <> end")
     return pairs.select(F.least("copy", "end").alias("a"), F.greatest("copy", "end").alias("b")).distinct()
 
 
+def _closest(near: DataFrame) -> DataFrame:
+    """For each text the pair with its closest partner. Others get their turn if it fails."""
+    order = F.col("bits") * F.lit(1 << 54) + F.pmod("other", F.lit(1 << 54))
+    sides = near.select(F.col("a").alias("one"), F.col("b").alias("other"), "bits").union(near.select("b", "a", "bits"))
+    best = sides.groupBy("one").agg(F.min_by("other", order).alias("other"))
+    return best.select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b")).distinct()
+
+
 def similar_pairs(rows: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
     """Verified pairs ``a``, ``b`` of ``copy`` keys. ``rows`` have the texts, ``classes`` one
     row a distinct text with its fingerprint."""
@@ -184,7 +206,7 @@ def similar_pairs(rows: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
         (F.bit_count(F.get("p", F.lit(k)).bitwiseXOR(F.get("q", F.lit(k)))) for k in range(1, len(SIMILAR_SEEDS))),
         F.bit_count(F.get("p", F.lit(0)).bitwiseXOR(F.get("q", F.lit(0)))),
     )
-    left, pairs, tried = classes.select("copy", "segments"), None, None
+    left, pairs, tried = classes.select("copy", "n", "segments"), None, None
 
     def compare(rows):
         found = zip(rows["one"], rows["other"], strict=True)
@@ -192,8 +214,9 @@ def similar_pairs(rows: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
 
     for _ in range(SIMILAR_ROUNDS):
         near = _met(left, bits).join(prints.toDF("a", "p"), "a").join(prints.toDF("b", "q"), "b")
-        near = near.where(distance <= SIMILAR_DISTANCE).select("a", "b")
-        near = stored(near if tried is None else near.join(tried, ["a", "b"], "left_anti"), "similar-candidates")
+        near = near.select("a", "b", distance.alias("bits")).where(F.col("bits") <= SIMILAR_DISTANCE)
+        near = near if tried is None else near.join(tried, ["a", "b"], "left_anti")
+        near = stored(_closest(near), "similar-candidates")
         tried = near if tried is None else tried.union(near)
         both = near.select(F.explode(F.array("a", "b")).alias("copy")).distinct()
         texts = stored(rows.join(both, "copy").select("copy", "text").dropDuplicates(["copy"]), "similar-texts")
@@ -203,7 +226,7 @@ def similar_pairs(rows: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
         pairs = found if pairs is None else pairs.union(found)
         # The larger key of a pair has found its group; the smaller may go on for it.
         waiting = both.join(found.select(F.col("b").alias("copy")).distinct(), "copy", "left_anti")
-        left = stored(classes.join(waiting, "copy", "left_semi").select("copy", "segments"), "similar-left")
+        left = stored(classes.join(waiting, "copy", "left_semi").select("copy", "n", "segments"), "similar-left")
         if left.isEmpty():
             break
     return pairs
@@ -214,9 +237,9 @@ def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
     exact and near copies, that is texts linked by four fifths or more of common shingles of
     five words.
 
-    Near copies are found by 128-bit SimHash fingerprints of three-word shingles and
-    multi-index hashing, and every link is verified on the whole texts; the candidate search
-    finds about 95 % of the pairs at four fifths, and nearly all closer ones. A null text
+    Near copies are found by 192-bit SimHash fingerprints of three-word shingles and
+    multi-index hashing, and every link is verified on the whole texts. A pair at four fifths
+    meets in a bucket in about 95 % of cases, closer ones nearly always. A null text
     counts as empty; texts without words are one group. ``first`` is null in groups where all
     ids are. An empty table gives no rows.
     """
@@ -226,7 +249,7 @@ def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
     made = stored(_segmented(rows, bits), "similar-prints")
     classes = stored(
         made.groupBy("copy").agg(
-            F.min("id").alias("first"), F.any_value("words").alias("words"), F.any_value("segments").alias("segments")
+            F.min("id").alias("first"), F.count("*").alias("n"), F.any_value("words").alias("words"), F.any_value("segments").alias("segments")
         ),
         "similar-classes",
     )
