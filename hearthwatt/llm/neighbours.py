@@ -85,7 +85,7 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _start(nodes: DataFrame, pivots: np.ndarray, degree: int, order: int) -> DataFrame:
+def _start(nodes: DataFrame, pivots: np.ndarray, degree: int, order: int, tasks: int) -> DataFrame:
     """Exact neighbours within blocks of vectors that follow each other in an order: by nearest
     pivot, then by a random projection."""
     line = np.random.default_rng(order).standard_normal(pivots.shape[1]).astype(np.float32)
@@ -122,7 +122,6 @@ def _start(nodes: DataFrame, pivots: np.ndarray, degree: int, order: int) -> Dat
         return {"a": ids[rows], "b": ids[best.ravel()], "near": found, "fresh": np.ones(len(found), bool)}
 
     keyed = _run(nodes.select("node", "raw"), sort_key, "node long, raw binary, key double")
-    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keyed.repartitionByRange(tasks, "key").sortWithinPartitions("key")
     return _run(dealt, meet, LINK)
 
@@ -242,12 +241,16 @@ def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
 def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """``node`` and ``others`` by NN-descent. Values are compared on 16-bit floats; ``near`` is
     for building only."""
-    count = min(MOST_PIVOTS, max(LEAST_PIVOTS, nodes.count() // VECTORS_PER_PIVOT))
+    vertices = nodes.count()
+    count = min(MOST_PIVOTS, max(LEAST_PIVOTS, vertices // VECTORS_PER_PIVOT))
+    # A task's last block may be short, so a task gets a few.
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(tasks, vertices // (2 * BLOCK)))
     by_hash = nodes.select("raw", F.xxhash64("node", F.lit("pivot")).alias("key")).orderBy("key")
     chosen = np.array([np.frombuffer(r["raw"], "<f4") for r in by_hash.limit(count * ORDERS).collect()])
     links = None
     for order in range(ORDERS if len(chosen) else 0):
-        more = _start(nodes, chosen[order::ORDERS] if len(chosen) >= ORDERS else chosen, degree, order)
+        more = _start(nodes, chosen[order::ORDERS] if len(chosen) >= ORDERS else chosen, degree, order, tasks)
         links = more if links is None else links.union(more)
     if links is None:
         links = nodes.sparkSession.createDataFrame([], LINK)
