@@ -32,7 +32,7 @@ ORDERS, BLOCK = 6, 512
 #: one for so many vectors, within these bounds.
 VECTORS_PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 2048, 16, 4096
 #: Best vertices a query remembers, and those it expands at once.
-BEAM, EXPANDED = 64, 16
+BEAM, EXPANDED = 64, 48
 #: Greedy steps at most; a query stops before if all it remembers are expanded.
 STEPS = 20
 
