@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from hearthwatt.sources import shared_folder
+
 #: Rows that a Python function sees at once; it bounds a task's memory.
 ROWS_AT_ONCE = 256
 
@@ -26,13 +28,6 @@ def find_package(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A folder that all executors reach: ``spark.checkpoint.dir``, or, only where that is
-    unset, a folder in the session's warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/hearthwatt-llm/{name}-{uuid.uuid4().hex}"
 
