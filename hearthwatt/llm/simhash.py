@@ -1,4 +1,5 @@
-"""SimHash fingerprints of word shingles, and documents whose fingerprints are close.
+"""SimHash fingerprints of word shingles, documents whose fingerprints are close, and an exact
+search for documents that have most of their shingles in common.
 
 Near fingerprints are found by multi-index hashing. A table holds, for each segment of a
 fingerprint, the values within one flipped bit of it. As both fingerprints of a pair enter the
@@ -122,21 +123,16 @@ def simhash_components(
     )
 
 
-#: For near-duplicates by similarity: hash seeds, of 64 fingerprint bits each.
-SIMILAR_SEEDS = (42, 43, 44)
-SIMILAR_BITS = 64 * len(SIMILAR_SEEDS)
-#: Segments of a fingerprint at most.
-SEGMENTS = 6
-#: Bits of a segment: so many more than the binary logarithm of the number of texts, and 18 at
-#: least. Chance meetings in a bucket then stay as rare as a corpus grows.
-SEGMENT_MARGIN, LEAST_SEGMENT = 8, 18
-#: Complete distance up to which a pair is compared in full. Texts with four fifths of their
-#: five-word shingles in common differ in 22 bits on average, with a deviation of under 5.
-SIMILAR_DISTANCE = 40
-#: Words of a shingle, and the share of common shingles of near-duplicates.
+#: Words of a shingle, and the share of common shingles of near-duplicates: four fifths, so two
+#: sets of s shingles in all differ in s / 9 at most. The integer tests below rest on that.
 SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
-#: Times that texts which met others, but found no partner, choose again.
-SIMILAR_ROUNDS = 3
+#: Texts that tell which shingles are frequent, about, and shingles they name at most. That
+#: orders a text's shingles; the pairs found don't depend on it.
+FREQUENT_TEXTS, FREQUENT_SHINGLES = 8192, 50_000
+#: Bits of the parity of a set, in words of 64.
+PARITY_WORDS = 4
+#: Leaders are elected again while a round links at least one in so many of those left over.
+WORTHWHILE = 50
 
 
 def similarity(one: str, other: str, size: int = SIMILAR_SHINGLE) -> float:
@@ -145,91 +141,146 @@ def similarity(one: str, other: str, size: int = SIMILAR_SHINGLE) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
-def _segments(bits: int) -> int:
-    return min(SEGMENTS, SIMILAR_BITS // bits)
+def _hashes(text: str) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in order."""
+    raw = b"".join([xxhash.xxh64_digest(s, SEED) for s in shingles(text, SIMILAR_SHINGLE)])
+    return np.unique(np.frombuffer(raw, "<i8"))
 
 
-def _segmented(rows: DataFrame, bits: int) -> DataFrame:
-    """``copy``, ``id``, 64-bit words of the fingerprint and the values of its segments."""
-    mask, count = (1 << bits) - 1, _segments(bits)
+def _frequent(rows: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the most frequent shingles in a sample of the texts, in order, and counts."""
+    some = rows.where(F.pmod("copy", F.lit(max(1, texts // FREQUENT_TEXTS))) == 0).select("copy", "text")
+    schema = "copy long, hashes array<long>"
+    held = map_rows(some, lambda r: {"copy": r["copy"], "hashes": [_hashes(t) for t in r["text"]]}, schema)
+    counted = held.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).where("n > 2")
+    top = sorted((r["hash"], r["n"]) for r in counted.orderBy(F.desc("n"), "hash").limit(FREQUENT_SHINGLES).collect())
+    return np.array([h for h, _ in top], np.int64), np.array([n for _, n in top], np.int64)
+
+
+def prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """So many of the rarest shingles that two sets with four fifths in common share one."""
+    if not len(hashes):
+        return np.zeros(1, np.int64)
+    n = np.zeros(len(hashes), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        n = np.where(frequent[at] == hashes, counts[at], 0)
+    return hashes[np.lexsort((hashes, n))][: len(hashes) // 5 + 1]
+
+
+def _sets(rows: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """``copy``, ``id``, the size, parity and prefix of each text's set of shingles."""
+    parities = [f"p{k}" for k in range(PARITY_WORDS)]
 
     def compute(rows):
-        words = [simhash(t, 3, SIMILAR_SEEDS) for t in rows["text"]]
-        whole = [sum((w & (1 << 64) - 1) << 64 * k for k, w in enumerate(ws)) for ws in words]
-        cut = [[w >> k * bits & mask for k in range(count)] for w in whole]
-        return {"copy": rows["copy"], "id": rows["id"], "words": words, "segments": cut}
+        sets = [_hashes(t) for t in rows["text"]]
+        odd = [np.bincount(h & 64 * PARITY_WORDS - 1, minlength=64 * PARITY_WORDS) & 1 for h in sets]
+        words = np.array([np.packbits(o.astype(np.uint8)).view("<i8") for o in odd], np.int64)
+        out = {"copy": rows["copy"], "id": rows["id"], "size": [len(h) for h in sets]}
+        out |= {p: words[:, k] for k, p in enumerate(parities)}
+        return out | {"keys": [prefix(h, frequent, counts) for h in sets]}
 
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"copy long, id {kind}, words array<long>, segments array<long>"
+    schema = f"copy long, id {kind}, size long, {', '.join(f'{p} long' for p in parities)}, keys array<long>"
     return map_rows(rows.select("copy", "id", "text"), compute, schema)
 
 
-def _met(left: DataFrame, bits: int) -> DataFrame:
-    """Pairs of ``copy`` keys that share a value of some segment's ball. Each text meets two of
-    a bucket, not all others: that with most exact copies, which is often what the others were
-    made from, and the smallest key. A group of very many near copies so gives a few pairs for
-    each of them."""
-    flips = [F.lit(0).cast("long")] + [F.lit(1 << k).cast("long") for k in range(bits)]
-
-    def around(k: int) -> Column:
-        return F.transform(
-            F.array(*flips), lambda flip: F.get("segments", F.lit(k)).bitwiseXOR(flip) + F.lit(k << bits)
-        )
-
-    balls = F.concat(*[around(k) for k in range(_segments(bits))])
-    rank = F.least("n", F.lit(1 << 20)) * F.lit(1 << 40) + F.pmod("copy", F.lit(1 << 40))
-    keys = left.select("copy", rank.alias("rank"), F.explode(balls).alias("key"))
-    ends = (
-        keys.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("copy").alias("low"), F.max_by("copy", "rank").alias("lead"))
-        .where("n > 1")
-    )
-    ends = ends.select("key", "low", "lead")
-    pairs = keys.select("copy", "key").join(ends, "key")
-    pairs = pairs.select("copy", F.explode(F.array_distinct(F.array("low", "lead"))).alias("end")).where("copy <> end")
-    return pairs.select(F.least("copy", "end").alias("a"), F.greatest("copy", "end").alias("b")).distinct()
-
-
-def _closest(near: DataFrame) -> DataFrame:
-    """For each text the pair with its closest partner. Others get their turn if it fails."""
-    order = F.col("bits") * F.lit(1 << 54) + F.pmod("other", F.lit(1 << 54))
-    sides = near.select(F.col("a").alias("one"), F.col("b").alias("other"), "bits").union(near.select("b", "a", "bits"))
-    best = sides.groupBy("one").agg(F.min_by("other", order).alias("other"))
-    return best.select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b")).distinct()
-
-
-def similar_pairs(rows: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
-    """Verified pairs ``a``, ``b`` of ``copy`` keys. ``rows`` have the texts, ``classes`` one
-    row a distinct text with its fingerprint."""
-    prints = classes.select("copy", "words")
-    distance = sum(
-        (F.bit_count(F.get("p", F.lit(k)).bitwiseXOR(F.get("q", F.lit(k)))) for k in range(1, len(SIMILAR_SEEDS))),
-        F.bit_count(F.get("p", F.lit(0)).bitwiseXOR(F.get("q", F.lit(0)))),
-    )
-    left, pairs, tried = classes.select("copy", "n", "segments"), None, None
+def _possible(one: str, other: str) -> Column:
+    """False only for sets that have less than four fifths in common: by size, and because the
+    parities of two sets differ in no more bits than the sets in shingles."""
+    x, y = (lambda c: F.col(f"{one}.{c}")), (lambda c: F.col(f"{other}.{c}"))
+    differ = sum((F.bit_count(x(f"p{k}").bitwiseXOR(y(f"p{k}"))) for k in range(1, PARITY_WORDS)), F.bit_count(x("p0").bitwiseXOR(y("p0"))))
+    sizes = F.least(x("size"), y("size")) * 5 >= F.greatest(x("size"), y("size")) * 4
+    return sizes & (differ * 9 <= x("size") + y("size"))
+
+
+def _pair(one: Column, other: Column) -> list[Column]:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+
+def _verified(near: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs of ``near`` whose whole texts have four fifths in common."""
 
     def compare(rows):
         found = zip(rows["one"], rows["other"], strict=True)
         return {"a": rows["a"], "b": rows["b"], "similarity": [similarity(x, y) for x, y in found]}
 
-    for _ in range(SIMILAR_ROUNDS):
-        near = _met(left, bits).join(prints.toDF("a", "p"), "a").join(prints.toDF("b", "q"), "b")
-        near = near.select("a", "b", distance.alias("bits")).where(F.col("bits") <= SIMILAR_DISTANCE)
-        near = near if tried is None else near.join(tried, ["a", "b"], "left_anti")
-        near = stored(_closest(near), "similar-candidates")
-        tried = near if tried is None else tried.union(near)
-        both = near.select(F.explode(F.array("a", "b")).alias("copy")).distinct()
-        texts = stored(rows.join(both, "copy").select("copy", "text").dropDuplicates(["copy"]), "similar-texts")
-        sides = near.join(texts.toDF("a", "one"), "a").join(texts.toDF("b", "other"), "b")
-        compared = map_rows(sides.select("a", "b", "one", "other"), compare, "a long, b long, similarity double")
-        found = stored(compared.where(F.col("similarity") >= SIMILARITY).select("a", "b"), "similar-pairs")
-        pairs = found if pairs is None else pairs.union(found)
-        # The larger key of a pair has found its group; the smaller may go on for it.
-        waiting = both.join(found.select(F.col("b").alias("copy")).distinct(), "copy", "left_anti")
-        left = stored(classes.join(waiting, "copy", "left_semi").select("copy", "n", "segments"), "similar-left")
-        if left.isEmpty():
-            break
-    return pairs
+    both = near.select(F.explode(F.array("a", "b")).alias("copy")).distinct()
+    texts = stored(rows.join(both, "copy").select("copy", "text").dropDuplicates(["copy"]), "similar-texts")
+    sides = near.join(texts.toDF("a", "one"), "a").join(texts.toDF("b", "other"), "b")
+    compared = map_rows(sides.select("a", "b", "one", "other"), compare, "a long, b long, similarity double")
+    return stored(compared.where(F.col("similarity") >= SIMILARITY).select("a", "b"), "similar-pairs")
+
+
+def _with_leaders(met: DataFrame, facts: DataFrame) -> DataFrame:
+    """Possible pairs of each text of ``met`` with the ``lead`` of its buckets."""
+    pairs = met.where("copy <> lead").select(*_pair(F.col("copy"), F.col("lead"))).distinct()
+    x, y = facts.withColumnRenamed("copy", "a").alias("x"), facts.withColumnRenamed("copy", "b").alias("y")
+    return pairs.join(x, "a").join(y, "b").where(_possible("x", "y")).select("a", "b")
+
+
+def _of_several_groups(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """The rows of buckets whose texts are in several groups by now, with the text's ``label``,
+    the bucket's largest group ``main``, and a ``lead`` outside it, each turn another one."""
+    rows = met.select("key", "copy", "pos").join(labels.toDF("copy", "label"), "copy", "left")
+    rows = stored(rows.withColumn("label", F.coalesce("label", "copy")), "similar-labelled")
+    parts = rows.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("copy", F.xxhash64("copy", F.lit(turn))).alias("lead"))
+    parts = stored(parts, "similar-parts")
+    size = F.col("n") * F.lit(1 << 32) + F.pmod("label", F.lit(1 << 32))
+    mains = parts.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("label", size).alias("main")).where("groups > 1")
+    others = parts.join(mains, "key").where("label <> main")
+    order = F.xxhash64("lead", F.lit(turn))
+    leads = others.groupBy("key").agg(
+        F.max("main").alias("main"), F.min_by("lead", order).alias("lead"), F.min_by("label", order).alias("lead_label")
+    )
+    return stored(rows.join(leads, "key"), "similar-several")
+
+
+def _across_groups(several: DataFrame, facts: DataFrame) -> DataFrame:
+    """All possible pairs of one bucket and two groups. One of the two is outside the bucket's
+    largest group, so that group's texts don't meet each other. A pair's first common shingle
+    leaves both sets enough shingles after it."""
+    rows = several.select("key", "copy", "pos", "label", "main").join(facts, "copy")
+    x, y = rows.where("label <> main").alias("x"), rows.alias("y")
+    after = F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) * 9
+    enough = after >= (F.col("x.size") + F.col("y.size")) * 4
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
+    return x.join(y, apart & enough & _possible("x", "y")).select(*_pair(F.col("x.copy"), F.col("y.copy"))).distinct()
+
+
+def similar_groups(rows: DataFrame, sets: DataFrame, facts: DataFrame) -> DataFrame:
+    """``vertex``, ``label`` of texts (``copy`` keys) linked by verified pairs. ``rows`` have the
+    texts, ``sets`` their prefixes, ``facts`` a distinct text's size and parity.
+
+    Two texts of four fifths share a key of their prefixes. In the first turns each text meets
+    a leader of each of its buckets only, as most of a group is linked that way. At the end
+    every pair of a bucket that still lies in two groups is compared, so no link that joins two
+    groups is left out.
+    """
+    keys = sets.select("copy", F.posexplode("keys").alias("pos", "key"))
+    # Texts whose rare shingles are few lead: others were often made from them.
+    order = F.least("pos", F.lit(1 << 14)) * F.lit(1 << 48) + F.pmod("copy", F.lit(1 << 48))
+    ends = keys.groupBy("key").agg(F.min("copy").alias("low"), F.max("copy").alias("high"), F.min_by("copy", order).alias("lead"))
+    ends = stored(ends.where("low < high").select("key", "lead"), "similar-buckets")
+    met = keys.join(ends, "key").groupBy("key", "copy").agg(F.min("pos").alias("pos"), F.max("lead").alias("lead"))
+    met = stored(met, "similar-met")
+    near, pairs, tried, turn = _with_leaders(met, facts), None, None, 0
+    while True:
+        near = stored(near if tried is None else near.join(tried, ["a", "b"], "left_anti"), "similar-candidates")
+        found = _verified(near, rows)
+        pairs, tried = (found, near) if pairs is None else (pairs.union(found), tried.union(near))
+        labels = components(pairs)
+        if turn < 0:
+            return labels
+        turn += 1
+        met = _of_several_groups(met, labels, turn)
+        rest = met.where("label <> main").select("copy").distinct().count()
+        if not rest:
+            return labels
+        if found.count() * WORTHWHILE > rest:
+            near = _with_leaders(met.where("label <> lead_label"), facts)
+        else:
+            near, turn = _across_groups(met, facts), -1
 
 
 def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -237,23 +288,17 @@ def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
     exact and near copies, that is texts linked by four fifths or more of common shingles of
     five words.
 
-    Near copies are found by 192-bit SimHash fingerprints of three-word shingles and
-    multi-index hashing, and every link is verified on the whole texts. A pair at four fifths
-    meets in a bucket in about 95 % of cases, closer ones nearly always. A null text
-    counts as empty; texts without words are one group. ``first`` is null in groups where all
-    ids are. An empty table gives no rows.
+    The search is exact for any number of rows: near copies meet by the rarest fifth of their
+    shingles, of which any two share one, and every link is verified on the whole texts. A null
+    text counts as empty; texts without words are one group. ``first`` is null in groups where
+    all ids are. An empty table gives no rows.
     """
     rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("copy", F.xxhash64("text"))
-    bits = max(LEAST_SEGMENT, df.count().bit_length() + SEGMENT_MARGIN)
-    made = stored(_segmented(rows, bits), "similar-prints")
-    classes = stored(
-        made.groupBy("copy").agg(
-            F.min("id").alias("first"), F.count("*").alias("n"), F.any_value("words").alias("words"), F.any_value("segments").alias("segments")
-        ),
-        "similar-classes",
-    )
-    labels = components(similar_pairs(rows, classes, bits)).toDF("copy", "label")
+    sets = stored(_sets(rows, *_frequent(rows, df.count())), "similar-sets")
+    facts = [F.max(c).alias(c) for c in ("size", *(f"p{k}" for k in range(PARITY_WORDS)))]
+    classes = stored(sets.groupBy("copy").agg(F.min("id").alias("first"), *facts), "similar-classes")
+    labels = similar_groups(rows, sets, classes.drop("first")).toDF("copy", "label")
     labelled = classes.select("copy", "first").join(labels, "copy", "left")
     labelled = labelled.select("copy", "first", F.coalesce("label", "copy").alias("group"))
     named = labelled.groupBy("group").agg(F.min("first").alias("group_first"))

@@ -106,6 +106,42 @@ def test_near_duplicates_are_linked_and_others_not(spark):
     assert {r["doc_id"]: r["first"] for r in keyed.collect()} == {5: 2, 2: 2, 9: 2, 7: 7, 8: 6, 6: 6}
 
 
+def brute_groups(docs):
+    """The smallest id each id reaches over pairs of four fifths."""
+    sets = {i: set(simhash.shingles(t, 5)) for i, t in docs}
+    label = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) * 5 >= 4 * len(sets[a] | sets[b]):
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {i: new if x == old else x for i, x in label.items()}
+    return label
+
+
+def found_groups(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    groups = simhash.near_duplicate_groups(df)
+    return {r["doc_id"]: r["first"] for r in df.withColumn("copy", F.xxhash64("text")).join(groups, "copy").collect()}
+
+
+def test_near_duplicate_chains_and_large_groups_equal_brute_force(spark):
+    draw = random.Random(5)
+    docs = []
+    for _ in range(8):  # chains: each text has two changed words more than the one before
+        text = [f"w{draw.randrange(9000)}" for _ in range(110)]
+        for _ in range(9):
+            docs.append(" ".join(text))
+            for _ in range(2):
+                text[draw.randrange(110)] = f"v{draw.randrange(9000)}"
+    for _ in range(2):  # groups of edits of one text, which itself is missing in the second
+        base = [f"w{draw.randrange(9000)}" for _ in range(150)]
+        for k in range(70):
+            docs.append(" ".join(f"u{draw.randrange(9000)}" if draw.random() < 0.013 else w for w in base))
+    draw.shuffle(docs)
+    docs = list(enumerate(docs))
+    assert found_groups(spark, docs) == brute_groups(docs)
+
+
 def plain_segments(hits, cost, length):
     """Ruzzo and Tompa's definition: split at the best segment, again and again."""
     scores = [-cost] * length
