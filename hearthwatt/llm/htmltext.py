@@ -78,6 +78,7 @@ class Element:
     outside: bool
     content: bool
     points: float = 0.0
+    own: float = 0.0
     characters: int = 0
     linked: int = 0
     links: int = 0
@@ -209,6 +210,7 @@ def _score(page: Page) -> None:
         size, commas = len(block.text), block.text.count(",") + block.text.count("，")
         points = (1 + commas + size / 100) * (1 - block.linked / size)
         at = block.element
+        elements[at].own += points
         if elements[at].name in ("p", "pre", "li", "td", "dd", "dt", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"):
             at = max(0, elements[at].parent)
         step = 0
@@ -236,8 +238,7 @@ def main_text(source: str) -> str:
         return ""
     _score(page)
     elements = page.elements
-    articles = [i for i, e in enumerate(elements) if e.name in ("article", "main") and not e.outside and e.characters]
-    best = max(articles or range(len(elements)), key=lambda i: (_final(elements[i]), -i))
+    best = max(range(len(elements)), key=lambda i: (_final(elements[i]), -i))
     chosen = {best}
     limit = SIBLING_SHARE * _final(elements[best])
     for i in elements[elements[best].parent].children if best else ():
@@ -245,7 +246,8 @@ def main_text(source: str) -> str:
         if i == best or e.outside or not e.characters:
             continue
         few_links = e.linked <= SIBLING_LINKS * e.characters
-        if (_final(e) >= max(limit, 1e-9) and few_links) or (e.name == "p" and e.characters >= SIBLING_CHARACTERS and few_links):
+        # Points of a paragraph's or heading's own text went to the parent.
+        if (max(_final(e), e.own) >= max(limit, 1e-9) and few_links) or (e.name == "p" and e.characters >= SIBLING_CHARACTERS and few_links):
             chosen.add(i)
     kept = [False] * len(elements)
     for i, e in enumerate(elements):

@@ -250,6 +250,16 @@ def test_main_text_of_odd_pages(spark):
     assert [r["text"] for r in found] == [text, "", "", "cut off &am", "", ""]
 
 
+def test_main_text_outside_short_articles():
+    long = "A long sentence of the body, with commas, that goes on for quite a while, and then on. " * 3
+    body = "".join(f"<p>{long}</p>" for _ in range(5))
+    cards = "".join(f"<article><p>Card {k}, short.</p></article>" for k in range(3))
+    page = f"<body><div><div>{body}</div></div><div>{cards}</div></body>"
+    assert htmltext.main_text(page) == "\n\n".join([long.strip()] * 5)
+    quoted = f"<body><article>{body}</article><blockquote>{long * 3}</blockquote><div>{cards}</div></body>"
+    assert htmltext.main_text(quoted) == "\n\n".join([long.strip()] * 5 + [(long * 3).strip()])
+
+
 def test_pipeline_stages(spark, awkward, empty):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "quality", "line_dedup", "simhash", "packing"]
