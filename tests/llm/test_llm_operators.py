@@ -260,6 +260,20 @@ def test_main_text_outside_short_articles():
     assert htmltext.main_text(quoted) == "\n\n".join([long.strip()] * 5 + [(long * 3).strip()])
 
 
+def test_pairs_of_four_fifths_share_a_key():
+    draw = np.random.default_rng(3)
+    for size in (1, 4, 9, 50, 500):
+        for _ in range(50):
+            one = np.unique(draw.integers(-(1 << 62), 1 << 62, size))
+            gone = size // 9
+            new = draw.integers(-(1 << 62), 1 << 62, gone) if draw.random() < 0.5 else []
+            other = np.unique(np.concatenate([one[gone:], new]).astype(np.int64))
+            if 5 * len(np.intersect1d(one, other)) >= 4 * len(np.union1d(one, other)):
+                for frequent in (np.zeros(0, np.int64), np.sort(one[::2])):
+                    counts = np.arange(len(frequent))
+                    assert len(np.intersect1d(simhash.prefix(one, frequent, counts), simhash.prefix(other, frequent, counts)))
+
+
 def test_pipeline_stages(spark, awkward, empty):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "quality", "line_dedup", "simhash", "packing"]
