@@ -41,8 +41,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (code points) and 64-bit hashes of a text's anchors, in order.
+def anchors(text: str, dense: bool | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (code points) and 64-bit hashes of a text's anchors, in order. ``dense`` says
+    whether all k-mers are anchors; left out, the length decides.
 
     ``K`` - 1 characters that no text has stand before the text, so that a text of any length
     has k-mers; an anchor that begins among them has a negative position.
@@ -55,7 +56,7 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
     four = two[:-2] * BASE_2 + two[2:]
     eight = four[:-4] * BASE_4 + four[4:]
     whole = eight[:-8] * BASE_8 + eight[8:]
-    if len(text) < DENSE_BELOW:
+    if len(text) < DENSE_BELOW if dense is None else dense:
         at = np.arange(len(whole))
     else:
         inner = _mixed(four[:-1] * BASE + points[4:])
@@ -66,9 +67,9 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
     return at - (K - 1), _mixed(whole[at])
 
 
-def sketch(text: str) -> np.ndarray:
+def sketch(text: str, dense: bool | None = None) -> np.ndarray:
     """The smallest distinct 32-bit anchor hashes, in order; none for an empty text."""
-    _, hashes = anchors(text)
+    _, hashes = anchors(text, dense)
     return np.unique((hashes >> np.uint64(32)).astype(np.uint32))[:SKETCH]
 
 
@@ -85,6 +86,15 @@ def likeness(one: np.ndarray, other: np.ndarray) -> float:
     return float((np.isin(union, one) & np.isin(union, other)).mean())
 
 
+def text_likeness(text: str, own: np.ndarray, other_text: str, other: np.ndarray) -> float:
+    """The likeness of two texts with these sketches. If only one is short enough for all its
+    k-mers to be anchors, both are compared by their closed syncmers."""
+    short, other_short = len(text) < DENSE_BELOW, len(other_text) < DENSE_BELOW
+    if short != other_short:
+        own, other = (sketch(text, False), other) if short else (own, sketch(other_text, False))
+    return likeness(own, other)
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``fingerprint``, and the whole list of anchors with their positions."""
     kind = df.schema[id_col].dataType.simpleString()
@@ -204,6 +214,6 @@ def _compared(row: tuple, following: tuple) -> tuple:
         hashlib.sha256(edited.encode()).hexdigest(),
         as_text(own),
         as_text(changed),
-        likeness(own, changed),
-        likeness(own, after),
+        text_likeness(text, own, edited, changed),
+        text_likeness(text, own, following[3], after),
     )

@@ -228,6 +228,19 @@ def test_syncmers_do_not_depend_on_their_surroundings():
     assert all(moved.get(place + 18) == value for place, value in inner.items() if place >= 0)
 
 
+def test_texts_on_both_sides_of_the_dense_limit_are_alike(spark):
+    draw, found = random.Random(4), []
+    texts = ["".join(draw.choice("abcdefghij klmnop") for _ in range(127)) for _ in range(40)]
+    for text in texts:
+        pair = spark.createDataFrame([(2, text), (1, text + "xy")], "doc_id long, text string") if not found else None
+        if pair is not None:
+            rows = fingerprint.fingerprints_with_edits(pair).collect()
+            assert all(r["near_next"] > 0.6 for r in rows)
+        own, other = fingerprint.sketch(text), fingerprint.sketch(text + "xy")
+        found.append(fingerprint.text_likeness(text, own, text + "xy", other))
+    assert np.mean(found) > 0.9
+
+
 def test_nearest_of_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (20, [1.0, 0.0]), (40, None), (60, [nan, 1.0]), (80, [inf, 1.0]), (100, [0.0, 0.0]), (120, [3.0, None]), (3, [2.0, 2.0]), (None, [1.0, 1.0])]
