@@ -12,12 +12,15 @@ from hearthwatt.llm.bpe import bpe_digests
 from hearthwatt.llm.fingerprint import fingerprints_with_edits
 from hearthwatt.llm.htmltext import extract_text
 from hearthwatt.llm.linededup import dedup_lines
+from hearthwatt.llm.merkle import merkle_manifest
 from hearthwatt.llm.neighbours import nearest
 from hearthwatt.llm.packing import pack_documents
 from hearthwatt.llm.quality import score_quality
+from hearthwatt.llm.sharding import shard_documents
 from hearthwatt.llm.simhash import simhash_components
 from hearthwatt.llm.toxicity import score_toxicity, train_toxicity
 from hearthwatt.llm.warc import warc_revisits
+from hearthwatt.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +78,18 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), top=16)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=40)
+
+
 QUERIES: dict[str, Query] = {
     "op1_closed_syncmers": op1_closed_syncmers,
     "op2_best_two_fit": op2_best_two_fit,
@@ -86,6 +101,9 @@ QUERIES: dict[str, Query] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_line_windows": op9_line_windows,
     "op10_main_text": op10_main_text,
+    "op11_exact_whitening": op11_exact_whitening,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_best_fit_shards": op13_best_fit_shards,
 }
 
 #: Line dedup, also used by the SQL of the pipeline: {source} is a table of documents.
@@ -145,7 +163,82 @@ SELECT page_id, payload_bytes,
 FROM digits
 """
 
+def _coded(value: str) -> str:
+    return f"coalesce(octet_length(encode({value})) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256({' || '.join(map(_coded, fields))})"
+
+
+#: The remainder of the CRC-32 of the decimal id, computed bit by bit.
+CRC_32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)))"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source, leaf, CASE WHEN even THEN {_leaf("replace(text, chr(10), '')")} ELSE leaf END AS tampered,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+    FROM (SELECT *, {_leaf("text")} AS leaf, {CRC_32} % 2 = 0 AS even FROM documents)
+),
+nodes AS (
+    SELECT source, 0 AS level, place, leaf AS node, count(*) OVER (PARTITION BY source) AS width FROM leaves
+    UNION ALL
+    SELECT source, level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), any_value((width + 2) // 3)
+    FROM nodes WHERE width > 1 GROUP BY source, level, place // 3
+),
+subroots AS (
+    SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM nodes WHERE width = 1
+),
+tops AS (
+    SELECT 0 AS level, place, subroot AS node, count(*) OVER () AS width FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), any_value((width + 2) // 3)
+    FROM tops WHERE width > 1 GROUP BY level, place // 3
+),
+above AS (
+    SELECT source, any_value(subroot) AS subroot, 1000 + level AS step,
+        coalesce(string_agg(node, '' ORDER BY t.place) FILTER (t.place < own), '') AS before,
+        coalesce(string_agg(node, '' ORDER BY t.place) FILTER (t.place > own), '') AS after
+    FROM (SELECT s.source, s.subroot, t.level, t.node, t.place, s.place // CAST(3 ** t.level AS BIGINT) AS own
+        FROM subroots s JOIN tops t ON t.width > 1 AND t.place // 3 = s.place // CAST(3 ** (t.level + 1) AS BIGINT)) t
+    GROUP BY source, level
+),
+below AS (
+    SELECT source, leaf_place, level AS step,
+        coalesce(string_agg(node, '' ORDER BY n.place) FILTER (n.place < own), '') AS before,
+        coalesce(string_agg(node, '' ORDER BY n.place) FILTER (n.place > own), '') AS after
+    FROM (SELECT l.source, l.place AS leaf_place, n.level, n.node, n.place, l.place // CAST(3 ** n.level AS BIGINT) AS own
+        FROM leaves l JOIN nodes n ON n.source IS NOT DISTINCT FROM l.source AND n.width > 1
+            AND n.place // 3 = l.place // CAST(3 ** (n.level + 1) AS BIGINT)) n
+    GROUP BY source, leaf_place, level
+),
+steps AS (
+    SELECT source, leaf_place, step, before, after FROM below
+    UNION ALL
+    SELECT l.source, l.place, a.step, a.before, a.after FROM leaves l JOIN above a ON a.source IS NOT DISTINCT FROM l.source
+),
+ways AS (
+    SELECT source, leaf_place, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256,
+        list(before || '|' || after ORDER BY step) AS way
+    FROM steps GROUP BY source, leaf_place
+),
+folded AS (
+    SELECT l.doc_id, l.leaf, s.subroot, (SELECT node FROM tops WHERE width = 1) AS root,
+        coalesce(w.proof_sha256, sha256('')) AS proof_sha256,
+        list_reduce(list_prepend(l.tampered, coalesce(w.way, [])),
+            lambda node, step: sha256(split_part(step, '|', 1) || node || split_part(step, '|', 2))) AS folded_root
+    FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+    LEFT JOIN ways w ON w.source IS NOT DISTINCT FROM l.source AND w.leaf_place = l.place
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
 ORACLES: dict[str, str] = {
     "op8_warc_revisits": WARC_SQL,
     "op9_line_windows": "WITH " + LINE_WINDOWS_SQL.format(source="documents") + "SELECT * FROM deduped",
+    "op12_merkle_manifest": MERKLE_SQL,
 }
