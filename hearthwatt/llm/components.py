@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthwatt.llm.frames import stored
+from hearthwatt.llm.frames import delete, new_path, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,14 +13,15 @@ def components(edges: DataFrame) -> DataFrame:
 
     In each round a vertex takes the smallest label among its neighbours, then the label of
     that label. Labels only fall, so an unchanged sum ends the loop. Every round is one
-    written table; a vertex with very many edges is spread by partial minima and by adaptive
+    written table, and the one before it is deleted; a vertex with very many edges is spread by partial minima and by adaptive
     splitting of the joins. Without edges there are no rows.
     """
+    spark = edges.sparkSession
     both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
     both = stored(both.toDF("vertex", "other"), "edges")
+    path = new_path(spark, "labels")
     labels = stored(
-        both.groupBy("vertex").agg(F.min("other").alias("near")).select("vertex", F.least("vertex", "near").alias("label")),
-        "labels",
+        both.groupBy("vertex").agg(F.min("other").alias("near")).select("vertex", F.least("vertex", "near").alias("label")), path=path
     )
     total = _sum(labels)
     while True:
@@ -31,10 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
         )
         nearer = labels.join(near, "vertex").select("vertex", F.least("label", "near").alias("label"))
         known = labels.toDF("label", "further")
-        labels = stored(
-            nearer.join(known, "label").select("vertex", F.least("label", "further").alias("label")),
-            "labels",
-        )
+        following = nearer.join(known, "label").select("vertex", F.least("label", "further").alias("label"))
+        last, path = path, new_path(spark, "labels")
+        labels = stored(following, path=path)
+        delete(spark, last)
         before, total = total, _sum(labels)
         if before == total:
             return labels

@@ -32,17 +32,34 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/hearthwatt-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back.
 
     The written table cuts the lineage, survives the loss of executors and tells Spark its
-    size before a join. It stays until the cluster clears that folder.
+    size before a join. It stays until ``delete`` or the owner of that folder removes it.
     """
-    path = new_path(df.sparkSession, name)
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a stored table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``df`` has such columns."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (name + "_" * k for k in range(len(taken) + 1)) if n not in taken) for name in names]
+
+
+def kept_apart(names: list[str]) -> dict[str, str]:
+    """Names under which columns can be carried along whatever they are called."""
+    return {name: f"kept_{k}" for k, name in enumerate(names)}
+
+
 def text_or_empty(name: str):
     return F.coalesce(F.col(name), F.lit("")).alias(name)
 

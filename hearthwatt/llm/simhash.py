@@ -1,10 +1,10 @@
-"""SimHash fingerprints of word shingles, documents whose fingerprints are close, and an exact
-search for documents that have most of their shingles in common.
+"""SimHash fingerprints of word shingles, and documents whose fingerprints are close.
 
-Near fingerprints are found by multi-index hashing. A table holds, for each segment of a
-fingerprint, the values within one flipped bit of it. As both fingerprints of a pair enter the
-table with such a ball, two that differ by up to two bits there meet at a common value, and a
-bucket never has to be compared with another one. Complete distances are verified after.
+Close fingerprints are found by multi-index hashing. A fingerprint of 64 bits has two segments
+of 32. If two fingerprints differ by two bits or fewer, they differ by at most one in one of the
+segments. So there is a table of fingerprints by the value of each segment; every fingerprint
+looks up the small Hamming ball about its own values there, and complete distances are verified
+for what it fetches. Values that many fingerprints share are told apart by the other segment.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthwatt.llm.components import components
-from hearthwatt.llm.frames import map_rows, stored, text_or_empty
+from hearthwatt.llm.frames import kept_apart, map_rows, stored, text_or_empty
 
 #: Fixed by the definition of the fingerprint.
 SEED = 42
@@ -41,266 +41,128 @@ def shingles(text: str, size: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip(begin, end, strict=True)]
 
 
-def simhash(text: str, size: int, seeds: tuple[int, ...] = (SEED,)) -> list[int]:
-    """For each seed a signed 64-bit fingerprint: a bit is 1 if over half the shingles' hashes
-    have it. Zero without words."""
-    found, out = shingles(text, size), []
-    for seed in seeds:
-        ones = np.zeros(64, np.int64)
-        for start in range(0, len(found), SHINGLES_AT_ONCE):
-            some = found[start : start + SHINGLES_AT_ONCE]
-            raw = b"".join([xxhash.xxh64_digest(s, seed) for s in some])
-            bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1)
-            ones += bits.sum(axis=0, dtype=np.int64)
-        out.append(int.from_bytes(np.packbits(2 * ones > len(found)).tobytes(), "big", signed=True))
-    return out
-
-
-def fingerprints(
-    df: DataFrame,
-    size: int = 3,
-    seeds: tuple[int, ...] = (SEED,),
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """``id_col`` and ``fingerprint``, an array with one 64-bit word a seed, of every text."""
-    kind = df.schema[id_col].dataType.simpleString()
-
-    def compute(rows):
-        found = [simhash(text, size, seeds) for text in rows[text_col]]
-        return {id_col: rows[id_col], "fingerprint": found}
+def simhash(text: str, size: int, seed: int = SEED) -> int:
+    """A signed 64-bit fingerprint: a bit is 1 if over half the shingles' hashes have it. Zero
+    without words."""
+    found = shingles(text, size)
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(found), SHINGLES_AT_ONCE):
+        raw = b"".join([xxhash.xxh64_digest(s, seed) for s in found[start : start + SHINGLES_AT_ONCE]])
+        bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1)
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(found)).tobytes(), "big", signed=True)
 
-    schema = f"`{id_col}` {kind}, fingerprint array<long>"
-    return map_rows(df.select(id_col, text_or_empty(text_col)), compute, schema)
 
+def fingerprints(df: DataFrame, size: int, seed: int, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns and the ``fingerprint`` of every text."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
-def ball(value: Column, start: int = 0, bits: int = 64) -> Column:
-    """``value`` and all values with one of its bits flipped, from bit ``start`` on."""
-    flips = [F.lit(0)] + [F.lit(1 << k if k < 63 else -(1 << 63)) for k in range(start, start + bits)]
-    return F.transform(F.array(*[f.cast("long") for f in flips]), lambda flip: value.bitwiseXOR(flip))
-
+    def compute(rows):
+        return {c: rows[c] for c in keep} | {"fingerprint": [simhash(text, size, seed) for text in rows[text_col]]}
 
-def close_fingerprints(classes: DataFrame) -> DataFrame:
-    """Pairs that link all fingerprints with at most two different bits, as ``a`` and ``b``.
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", fingerprint long"
+    return map_rows(df.select(*keep, text_or_empty(text_col)), compute, schema)
 
-    The segment's ball is completed by the other, unflipped segments to a full 64-bit key, so
-    a bucket holds at most 65 different fingerprints, whatever the data. Pairs with the
-    smallest of a bucket link the others too, as all in it are within two bits.
-    """
-    met = (
-        classes.select("fingerprint", F.explode(ball(F.col("fingerprint"))).alias("key"))
-        .groupBy("key")
-        .agg(F.collect_set("fingerprint").alias("near"))
-        .where(F.size("near") > 1)
-    )
-    pairs = met.select(F.array_min("near").alias("a"), F.explode("near").alias("b"))
-    return pairs.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).distinct()
 
+#: Bits of a segment, and bits that differ at most between close fingerprints.
+SEGMENT, DISTANCE = 32, 2
+#: A value of a segment is hot if more fingerprints have it; then the other segment joins in.
+HOT = 32
 
-def simhash_components(
-    df: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per document: its 64-bit fingerprint in hexadecimal and ``component_id``, the
-    smallest id among all documents reachable over links of at most two different bits.
 
-    Documents with equal fingerprints are one vertex, so copies are never compared. A null or
-    wordless text has fingerprint zero and links like any other; a null id never names a
-    component that has another id. Repeated rows stay. An empty table gives no rows.
-    """
-    made = fingerprints(df, size, (SEED,), id_col, text_col)
-    made = stored(made.select(id_col, F.col("fingerprint")[0].alias("fingerprint")), "simhash")
-    classes = stored(made.groupBy("fingerprint").agg(F.min(id_col).alias("first")), "classes")
-    labels = components(close_fingerprints(classes)).toDF("fingerprint", "label")
-    labelled = classes.join(labels, "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("label", "fingerprint").alias("label")
-    )
-    named = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    names = stored(labelled.join(named, "label").select("fingerprint", "component_id"), "components")
-    return made.join(names, "fingerprint").select(
-        id_col,
-        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+def _bit(k: int) -> Column:
+    return F.lit(1 << k if k < 63 else -(1 << 63)).cast("long")
 
 
-#: Words of a shingle, and the share of common shingles of near-duplicates: four fifths, so two
-#: sets of s shingles in all differ in s / 9 at most. The integer tests below rest on that.
-SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
-#: Texts that tell which shingles are frequent, about, and shingles they name at most. That
-#: orders a text's shingles; the pairs found don't depend on it.
-FREQUENT_TEXTS, FREQUENT_SHINGLES = 8192, 50_000
-#: Bits of the parity of a set, in words of 64.
-PARITY_WORDS = 4
-#: Leaders are elected again while a round links at least one in so many of those left over.
-WORTHWHILE = 50
+def _flips(first: int, last: int) -> Column:
+    return F.array(*[_bit(k) for k in range(first, last)])
 
 
-def similarity(one: str, other: str, size: int = SIMILAR_SHINGLE) -> float:
-    """The Jaccard similarity of two texts' sets of shingles; 1 for two without words."""
-    a, b = set(shingles(one, size)), set(shingles(other, size))
-    return len(a & b) / len(a | b) if a or b else 1.0
+def segment(fingerprint: Column, part: int) -> Column:
+    """The bits of segment 0 (lower) or 1, where they are; the others zero."""
+    mask = (1 << SEGMENT) - 1
+    return fingerprint.bitwiseAND(F.lit(mask if part == 0 else ~mask).cast("long"))
 
 
-def _hashes(text: str) -> np.ndarray:
-    """The distinct hashes of a text's shingles, in order."""
-    raw = b"".join([xxhash.xxh64_digest(s, SEED) for s in shingles(text, SIMILAR_SHINGLE)])
-    return np.unique(np.frombuffer(raw, "<i8"))
+def segment_table(classes: DataFrame) -> DataFrame:
+    """``part``, ``value`` and ``fingerprint``: each fingerprint under both its segments."""
+    rows = F.array(*[F.struct(F.lit(p).alias("part"), segment(F.col("fingerprint"), p).alias("value")) for p in (0, 1)])
+    return classes.select(F.explode(rows).alias("row"), "fingerprint").select("row.part", "row.value", "fingerprint")
 
 
-def _frequent(rows: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the most frequent shingles in a sample of the texts, in order, and counts."""
-    some = rows.where(F.pmod("copy", F.lit(max(1, texts // FREQUENT_TEXTS))) == 0).select("copy", "text")
-    schema = "copy long, hashes array<long>"
-    held = map_rows(some, lambda r: {"copy": r["copy"], "hashes": [_hashes(t) for t in r["text"]]}, schema)
-    counted = held.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).where("n > 2")
-    top = sorted((r["hash"], r["n"]) for r in counted.orderBy(F.desc("n"), "hash").limit(FREQUENT_SHINGLES).collect())
-    return np.array([h for h, _ in top], np.int64), np.array([n for _, n in top], np.int64)
+def segment_probes(classes: DataFrame) -> DataFrame:
+    """``part``, ``value`` and ``fingerprint`` for all values that a fingerprint looks up: its
+    segment and that with one of its ones cleared. Of two segments that differ by a bit one has
+    it set, so half of the ball is enough."""
+    fingerprint = F.col("fingerprint")
 
+    def values(part: int) -> Column:
+        own, flips = segment(fingerprint, part), _flips(SEGMENT * part, SEGMENT * (part + 1))
+        cleared = F.transform(F.filter(flips, lambda bit: own.bitwiseAND(bit) != 0), lambda bit: own.bitwiseXOR(bit))
+        return F.transform(F.concat(F.array(own), cleared), lambda v: F.struct(F.lit(part).alias("part"), v.alias("value")))
 
-def prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """So many of the rarest shingles that two sets with four fifths in common share one."""
-    if not len(hashes):
-        return np.zeros(1, np.int64)
-    n = np.zeros(len(hashes), np.int64)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-        n = np.where(frequent[at] == hashes, counts[at], 0)
-    return hashes[np.lexsort((hashes, n))][: len(hashes) // 5 + 1]
+    rows = F.concat(values(0), values(1))
+    return classes.select(F.explode(rows).alias("row"), "fingerprint").select("row.part", "row.value", "fingerprint")
 
 
-def _sets(rows: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """``copy``, ``id``, the size, parity and prefix of each text's set of shingles."""
-    parities = [f"p{k}" for k in range(PARITY_WORDS)]
+def _distance(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
 
-    def compute(rows):
-        sets = [_hashes(t) for t in rows["text"]]
-        odd = [np.bincount(h & 64 * PARITY_WORDS - 1, minlength=64 * PARITY_WORDS) & 1 for h in sets]
-        words = np.array([np.packbits(o.astype(np.uint8)).view("<i8") for o in odd], np.int64)
-        out = {"copy": rows["copy"], "id": rows["id"], "size": [len(h) for h in sets]}
-        out |= {p: words[:, k] for k, p in enumerate(parities)}
-        return out | {"keys": [prefix(h, frequent, counts) for h in sets]}
-
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"copy long, id {kind}, size long, {', '.join(f'{p} long' for p in parities)}, keys array<long>"
-    return map_rows(rows.select("copy", "id", "text"), compute, schema)
-
-
-def _possible(one: str, other: str) -> Column:
-    """False only for sets that have less than four fifths in common: by size, and because the
-    parities of two sets differ in no more bits than the sets in shingles."""
-    x, y = (lambda c: F.col(f"{one}.{c}")), (lambda c: F.col(f"{other}.{c}"))
-    differ = sum((F.bit_count(x(f"p{k}").bitwiseXOR(y(f"p{k}"))) for k in range(1, PARITY_WORDS)), F.bit_count(x("p0").bitwiseXOR(y("p0"))))
-    sizes = F.least(x("size"), y("size")) * 5 >= F.greatest(x("size"), y("size")) * 4
-    return sizes & (differ * 9 <= x("size") + y("size"))
-
-
-def _pair(one: Column, other: Column) -> list[Column]:
-    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
-
-
-def _verified(near: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs of ``near`` whose whole texts have four fifths in common."""
-
-    def compare(rows):
-        found = zip(rows["one"], rows["other"], strict=True)
-        return {"a": rows["a"], "b": rows["b"], "similarity": [similarity(x, y) for x, y in found]}
-
-    both = near.select(F.explode(F.array("a", "b")).alias("copy")).distinct()
-    texts = stored(rows.join(both, "copy").select("copy", "text").dropDuplicates(["copy"]), "similar-texts")
-    sides = near.join(texts.toDF("a", "one"), "a").join(texts.toDF("b", "other"), "b")
-    compared = map_rows(sides.select("a", "b", "one", "other"), compare, "a long, b long, similarity double")
-    return stored(compared.where(F.col("similarity") >= SIMILARITY).select("a", "b"), "similar-pairs")
-
-
-def _with_leaders(met: DataFrame, facts: DataFrame) -> DataFrame:
-    """Possible pairs of each text of ``met`` with the ``lead`` of its buckets."""
-    pairs = met.where("copy <> lead").select(*_pair(F.col("copy"), F.col("lead"))).distinct()
-    x, y = facts.withColumnRenamed("copy", "a").alias("x"), facts.withColumnRenamed("copy", "b").alias("y")
-    return pairs.join(x, "a").join(y, "b").where(_possible("x", "y")).select("a", "b")
-
-
-def _of_several_groups(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """The rows of buckets whose texts are in several groups by now, with the text's ``label``,
-    the bucket's largest group ``main``, and a ``lead`` outside it, each turn another one."""
-    rows = met.select("key", "copy", "pos").join(labels.toDF("copy", "label"), "copy", "left")
-    rows = stored(rows.withColumn("label", F.coalesce("label", "copy")), "similar-labelled")
-    parts = rows.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("copy", F.xxhash64("copy", F.lit(turn))).alias("lead"))
-    parts = stored(parts, "similar-parts")
-    size = F.col("n") * F.lit(1 << 32) + F.pmod("label", F.lit(1 << 32))
-    mains = parts.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("label", size).alias("main")).where("groups > 1")
-    others = parts.join(mains, "key").where("label <> main")
-    order = F.xxhash64("lead", F.lit(turn))
-    leads = others.groupBy("key").agg(
-        F.max("main").alias("main"), F.min_by("lead", order).alias("lead"), F.min_by("label", order).alias("lead_label")
-    )
-    return stored(rows.join(leads, "key"), "similar-several")
 
+def close_fingerprints(classes: DataFrame, hot: int = HOT) -> DataFrame:
+    """Pairs that link all fingerprints with at most two different bits, as ``a`` and ``b``.
 
-def _across_groups(several: DataFrame, facts: DataFrame) -> DataFrame:
-    """All possible pairs of one bucket and two groups. One of the two is outside the bucket's
-    largest group, so that group's texts don't meet each other. A pair's first common shingle
-    leaves both sets enough shingles after it."""
-    rows = several.select("key", "copy", "pos", "label", "main").join(facts, "copy")
-    x, y = rows.where("label <> main").alias("x"), rows.alias("y")
-    after = F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) * 9
-    enough = after >= (F.col("x.size") + F.col("y.size")) * 4
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
-    return x.join(y, apart & enough & _possible("x", "y")).select(*_pair(F.col("x.copy"), F.col("y.copy"))).distinct()
+    A probe fetches at most ``hot`` fingerprints of one value, of which those stay that are
+    within two bits in all. Fingerprints and probes of a hotter value take as key that value
+    together with the other segment, the fingerprints also with one of its bits flipped. All
+    that share such a key are within a bit of it, so within two of each other, and pairs with
+    the smallest link them. There are at most 65, whatever the data.
+    """
+    table, probes = segment_table(classes), segment_probes(classes)
+    hot_values = stored(table.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > hot).drop("n"), "hot-values")
+    where = ["part", "value"]
+    x, y = probes.join(hot_values, where, "left_anti").alias("x"), table.join(hot_values, where, "left_anti").alias("y")
+    a, b = F.col("x.fingerprint"), F.col("y.fingerprint")
+    same = (F.col("x.part") == F.col("y.part")) & (F.col("x.value") == F.col("y.value"))
+    fetched = x.join(y, same & (a != b) & (_distance(a, b) <= DISTANCE)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+
+    fingerprint = F.col("fingerprint")
+    value = F.col("value")
+    part = F.when(F.col("part") == 0, segment(fingerprint, 0)).otherwise(segment(fingerprint, 1))
+    other = fingerprint.bitwiseXOR(part)
+    flips = F.when(F.col("part") == 0, _flips(SEGMENT, 2 * SEGMENT)).otherwise(_flips(0, SEGMENT))
+    whole = value.bitwiseOR(other)
+    keys = F.when(value == part, F.concat(F.array(whole), F.transform(flips, lambda bit: whole.bitwiseXOR(bit)))).otherwise(F.array(whole))
+    met = probes.join(hot_values, where).select("fingerprint", F.explode(keys).alias("key"))
+    met = met.groupBy("key").agg(F.collect_set("fingerprint").alias("near")).where(F.size("near") > 1)
+    pairs = met.select(F.array_min("near").alias("a"), F.explode("near").alias("b")).where("a <> b")
+    return fetched.union(pairs.where(_distance(F.col("a"), F.col("b")) <= DISTANCE)).distinct()
 
 
-def similar_groups(rows: DataFrame, sets: DataFrame, facts: DataFrame) -> DataFrame:
-    """``vertex``, ``label`` of texts (``copy`` keys) linked by verified pairs. ``rows`` have the
-    texts, ``sets`` their prefixes, ``facts`` a distinct text's size and parity.
+def simhash_components(
+    df: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per document: its id, the ``keep`` columns, its 64-bit ``fingerprint`` in hexadecimal
+    and ``component_id``, the smallest id among all documents reachable over links of at most two
+    different bits.
 
-    Two texts of four fifths share a key of their prefixes. In the first turns each text meets
-    a leader of each of its buckets only, as most of a group is linked that way. At the end
-    every pair of a bucket that still lies in two groups is compared, so no link that joins two
-    groups is left out.
-    """
-    keys = sets.select("copy", F.posexplode("keys").alias("pos", "key"))
-    # Texts whose rare shingles are few lead: others were often made from them.
-    order = F.least("pos", F.lit(1 << 14)) * F.lit(1 << 48) + F.pmod("copy", F.lit(1 << 48))
-    ends = keys.groupBy("key").agg(F.min("copy").alias("low"), F.max("copy").alias("high"), F.min_by("copy", order).alias("lead"))
-    ends = stored(ends.where("low < high").select("key", "lead"), "similar-buckets")
-    met = keys.join(ends, "key").groupBy("key", "copy").agg(F.min("pos").alias("pos"), F.max("lead").alias("lead"))
-    met = stored(met, "similar-met")
-    near, pairs, tried, turn = _with_leaders(met, facts), None, None, 0
-    while True:
-        near = stored(near if tried is None else near.join(tried, ["a", "b"], "left_anti"), "similar-candidates")
-        found = _verified(near, rows)
-        pairs, tried = (found, near) if pairs is None else (pairs.union(found), tried.union(near))
-        labels = components(pairs)
-        if turn < 0:
-            return labels
-        turn += 1
-        met = _of_several_groups(met, labels, turn)
-        rest = met.where("label <> main").select("copy").distinct().count()
-        if not rest:
-            return labels
-        if found.count() * WORTHWHILE > rest:
-            near = _with_leaders(met.where("label <> lead_label"), facts)
-        else:
-            near, turn = _across_groups(met, facts), -1
-
-
-def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``copy`` (the hash of a text), ``group``, and ``first``, the smallest id in its group of
-    exact and near copies, that is texts linked by four fifths or more of common shingles of
-    five words.
-
-    The search is exact for any number of rows: near copies meet by the rarest fifth of their
-    shingles, of which any two share one, and every link is verified on the whole texts. A null
-    text counts as empty; texts without words are one group. ``first`` is null in groups where
-    all ids are. An empty table gives no rows.
+    Documents with equal fingerprints are one vertex, so copies are never compared. A null or
+    wordless text has fingerprint zero and links like any other; a null id never names a
+    component that has another id. Repeated rows stay. Texts are taken whole. Other columns are
+    not looked at; a kept one called as a result is left out. An empty table gives no rows.
     """
-    rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    rows = rows.withColumn("copy", F.xxhash64("text"))
-    sets = stored(_sets(rows, *_frequent(rows, df.count())), "similar-sets")
-    facts = [F.max(c).alias(c) for c in ("size", *(f"p{k}" for k in range(PARITY_WORDS)))]
-    classes = stored(sets.groupBy("copy").agg(F.min("id").alias("first"), *facts), "similar-classes")
-    labels = similar_groups(rows, sets, classes.drop("first")).toDF("copy", "label")
-    labelled = classes.select("copy", "first").join(labels, "copy", "left")
-    labelled = labelled.select("copy", "first", F.coalesce("label", "copy").alias("group"))
-    named = labelled.groupBy("group").agg(F.min("first").alias("group_first"))
-    found = labelled.join(named, "group").select("copy", "group", F.col("group_first").alias("first"))
-    return stored(found, "groups")
+    names = kept_apart([id_col, *[c for c in keep if c not in (id_col, "fingerprint", "component_id")]])
+    picked = df.select(*[F.col(c).alias(r) for c, r in names.items()], F.col(text_col).alias("text"))
+    made = stored(fingerprints(picked, size, SEED, list(names.values())), "simhash")
+    classes = stored(made.groupBy("fingerprint").agg(F.min("kept_0").alias("first")), "classes")
+    labels = components(close_fingerprints(classes)).toDF("fingerprint", "label")
+    labelled = classes.join(labels, "fingerprint", "left").select(
+        "fingerprint", "first", F.coalesce("label", "fingerprint").alias("label")
+    )
+    named = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
+    names_of = stored(labelled.join(named, "label").select("fingerprint", "component_id"), "components")
+    return made.join(names_of, "fingerprint").select(
+        *[F.col(r).alias(c) for c, r in names.items()],
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
