@@ -24,18 +24,15 @@ from hearthwatt.llm.frames import find_package, stored
 DEGREE = 32
 #: Links of a vertex that meet in a round, in each direction; new ones come first.
 SAMPLE = 24
-#: Rounds of NN-descent.
-ROUNDS = 3
+#: Rounds of NN-descent go on until fewer than this share of all links have not met yet.
+SETTLED = 0.05
 #: Random orders the graph starts from, and rows of a block.
 ORDERS, BLOCK = 6, 512
 #: An order puts vectors with the same nearest pivot together. Pivots are rows chosen by hash:
 #: one for so many vectors, within these bounds.
 VECTORS_PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 2048, 16, 4096
 #: Best vertices a query remembers, and those it expands at once.
-BEAM, EXPANDED = 64, 48
-#: Greedy steps at most; a query stops before if all it remembers are expanded.
-STEPS = 20
-
+BEAM, EXPANDED = 160, 80
 
 LINK = "a long, b long, near float, fresh boolean"
 
@@ -238,9 +235,10 @@ def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return _run(ordered, several, LINK)
 
 
-def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """``node`` and ``others`` by NN-descent. Values are compared on 16-bit floats; ``near`` is
-    for building only."""
+def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, settled: float = SETTLED) -> DataFrame:
+    """``node`` and ``others`` by NN-descent, whose rounds end when the graph has settled: when
+    fewer than the share ``settled`` of its links are new. That share is the same for any number
+    of vectors. Values are compared on 16-bit floats; ``near`` is for building only."""
     vertices = nodes.count()
     count = min(MOST_PIVOTS, max(LEAST_PIVOTS, vertices // VECTORS_PER_PIVOT))
     # A task's last block may be short, so a task gets a few.
@@ -255,24 +253,35 @@ def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS
     if links is None:
         links = nodes.sparkSession.createDataFrame([], LINK)
     graph = stored(_best(links, degree, 0), "graph")
-    for number in range(1, rounds + 1):
+    number = 0
+    while _unmet(graph) >= settled:
+        number += 1
         old = graph.select(F.col("node").alias("a"), F.explode(F.arrays_zip("others", "near", "fresh")).alias("x"))
         old = old.select("a", F.col("x.others").alias("b"), F.col("x.near").alias("near"), F.col("x.fresh").alias("fresh"))
         graph = stored(_best(old.union(_meet(graph, nodes)), degree, number), "graph")
     return graph
 
 
+def _unmet(graph: DataFrame) -> float:
+    """The share of links that were new when their round began."""
+    fresh = lambda c: F.size(F.filter(c, lambda x: x))
+    found = graph.agg(F.sum(fresh("fresh") + fresh("met_fresh")).alias("new"), F.sum(F.size("others")).alias("all")).first()
+    return (found["new"] or 0) / (found["all"] or 1)
+
+
 def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) -> DataFrame:
     """Greedy search: pairs of ``q`` and one of its ``beam`` best vertices, by 16-bit floats.
 
     A vertex's links are walked both ways. Each step expands the best unexpanded vertices of
-    every query at once; vertices a query has met are not fetched again.
+    every query at once; vertices a query has met are not fetched again. A query ends when all
+    of its best vertices are expanded, which it must, as it expands no vertex twice.
     """
     forward = graph.select("node", F.explode("others").alias("w"))
     by_chance = Window.partitionBy("node").orderBy(F.xxhash64("w", "node"), "w")
     backward = forward.select(F.col("w").alias("node"), F.col("node").alias("w"))
     backward = backward.withColumn("rank", F.row_number().over(by_chance)).where(F.col("rank") <= DEGREE)
-    links = stored(forward.union(backward.drop("rank")).distinct(), "links")
+    links = forward.union(backward.drop("rank")).groupBy("node").agg(F.collect_set("w").alias("ws"))
+    links = stored(links, "links")
     vectors = nodes.select(F.col("node").alias("w"), F.col("half").alias("wv"))
     schema = "q long, qv binary, met array<long>, beam array<long>, score array<double>, open array<long>"
     target = to_arrow_schema(StructType.fromDDL(schema))
@@ -305,19 +314,11 @@ def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) ->
         F.array("node").alias("open"),
     )
     state = stored(state, "walk")
-    for _ in range(STEPS):
-        going = state.where(F.size("open") > 0)
-        if going.isEmpty():
-            break
-        ahead = going.select("q", "met", F.explode(F.slice("open", 1, EXPANDED)).alias("node"))
-        seen = (
-            ahead.join(links, "node")
-            .where(~F.array_contains("met", F.col("w")))
-            .select("q", "w")
-            .distinct()
-            .join(vectors, "w")
-        )
-        found = seen.withColumnRenamed("q", "asker").groupBy("asker")
+    while not (going := state.where(F.size("open") > 0)).isEmpty():
+        ahead = going.select("q", F.explode(F.slice("open", 1, EXPANDED)).alias("node"))
+        reached = ahead.join(links, "node").groupBy("q").agg(F.flatten(F.collect_list("ws")).alias("ws"))
+        new = going.select("q", "met").join(reached, "q").select("q", F.explode(F.array_except("ws", "met")).alias("w"))
+        found = new.join(vectors, "w").withColumnRenamed("q", "asker").groupBy("asker")
         state = stored(state.groupBy("q").cogroup(found).applyInArrow(step, schema), "walk")
     return state.select("q", F.explode("beam").alias("w"))
 
@@ -329,7 +330,7 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     degree: int = DEGREE,
-    rounds: int = ROUNDS,
+    settled: float = SETTLED,
     beam: int = BEAM,
 ) -> DataFrame:
     """For each usable row whose id is divisible by ``every``: its ``top`` nearest other rows
@@ -371,7 +372,7 @@ def nearest(
 
     schema = "node long, ids array<long>, exact binary, raw binary, asking binary, half binary"
     nodes = stored(_run(classes, encode, schema), "nodes")
-    graph = neighbour_graph(nodes, degree, rounds)
+    graph = neighbour_graph(nodes, degree, settled)
 
     asked = stored(
         rows.where(F.col("id") % every == 0).join(classes.select("v", "node"), "v").select("id", "node"), "asked"
