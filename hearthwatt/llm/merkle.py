@@ -15,20 +15,18 @@ from functools import cache, reduce
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from hearthwatt.llm.frames import find_package, stored
+from hearthwatt.llm.ordering import numbered
 
 #: Consecutive nodes that become one.
 RUN = 3
 #: Levels between the leaves and the root of a block, which so has up to 729 leaves.
 BLOCK_HEIGHT = 6
-#: Leaves that a task orders and numbers: fewer tasks for a small table, more for a large one.
-LEAST_ROWS, MOST_ROWS = 1_000, 200_000
-
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -101,31 +99,6 @@ def leaf(text: Column, fields: tuple[str, ...] = FIELDS) -> Column:
     return F.sha2(F.concat(*[coded(text if f == "text" else F.col(f)) for f in fields]).cast("binary"), 256)
 
 
-def numbered(df: DataFrame, tree: str, order: list[str], rows: int, name: str) -> DataFrame:
-    """``df`` with ``place``, from 0 by ``order`` within each value of ``tree`` (nulls first), and
-    ``leaves``, the tree's number of rows.
-
-    Rows are dealt by ranges, so that a tree that holds most of them spreads over many tasks.
-    What is added up over the ranges is one small row for each tree in a range.
-    """
-    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(1, -(-rows // MOST_ROWS), min(usual, -(-rows // LEAST_ROWS)))
-    dealt = df.repartitionByRange(ranges, tree, *order).sortWithinPartitions(tree, *order)
-    dealt = stored(dealt.withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}), name)
-    parts = stored(dealt.groupBy(tree, "part").agg(F.min("row").alias("first"), F.count("*").alias("n")), f"{name}-parts")
-    earlier = Window.partitionBy(tree).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counted = parts.select(
-        F.col(tree).alias("its_tree"),
-        F.col("part").alias("its_part"),
-        "first",
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
-        F.sum("n").over(Window.partitionBy(tree)).alias("leaves"),
-    )
-    same = (F.col("part") == F.col("its_part")) & F.col(tree).eqNullSafe(F.col("its_tree"))
-    placed = dealt.join(counted, same).withColumn("place", F.col("before") + F.col("row") - F.col("first"))
-    return placed.drop("its_tree", "its_part", "first", "before", "part", "row")
-
-
 def blocks(nodes: DataFrame, tree: str, members: dict[str, str], height: int, name: str) -> DataFrame:
     """One row per block of ``nodes`` (``tree``, ``place``, ``leaves``, ``digest`` and the columns
     of ``members``): its place ``block`` among the tree's ``blocks``, the tree's ``leaves``, its
