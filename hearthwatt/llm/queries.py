@@ -25,6 +25,7 @@ from hearthwatt.llm.whitening import whiten
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Vocabulary files; pass others to the operators themselves.
+PACKING_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PACKING_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CODEC_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -38,7 +39,7 @@ def op1_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), PACKING_RANKS, capacity=2048)
+    return pack_documents(table(spark, sf_dir, "documents"), PACKING_TOKENIZER, PACKING_RANKS, capacity=2048)
 
 
 def op3_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
