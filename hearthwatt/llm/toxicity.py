@@ -22,13 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from hearthwatt.llm.frames import find_package, map_rows, stored, text_or_empty
+from hearthwatt.llm.frames import find_package, kept_apart, map_rows, stored, text_or_empty
 from hearthwatt.llm.labelled import bounded_sample, held_out, training_labels
 
 #: Labelled documents that the model learns from, at most; a fifth of them calibrate it.
 TRAINING_DOCUMENTS = 50_000
-#: Tokens in the model at most, the surest ones.
-LEXICON = 50_000
 #: A token enters the model if its log-odds ratio is so many standard errors above zero.
 SURE = 3.0
 #: Weight of the prior, in tokens.
@@ -209,8 +207,11 @@ def train_toxicity(
     once = stored(
         marked.groupBy("copy").agg(F.min(id_col).alias(id_col), F.avg("label").alias("label")), "training-ids"
     )
+    # An id may repeat with many texts; beyond the sample's bound both sides are shuffled.
+    wanted = once.select(id_col, "label", "copy")
+    wanted = F.broadcast(wanted) if once.count() <= 2 * training_documents else wanted
     known = stored(
-        texts.join(F.broadcast(once.select(id_col, "label", "copy")), id_col)
+        texts.join(wanted, id_col)
         .where(F.xxhash64("text") == F.col("copy"))
         .dropDuplicates(["copy"]),
         "training",
@@ -220,7 +221,8 @@ def train_toxicity(
     sure = odds.where(F.col("odds") > SURE * F.col("error")).orderBy(
         (F.col("odds") / F.col("error")).desc(), "token"
     )
-    lexicon = sure.limit(LEXICON).collect()
+    # All of them: their number is bounded by the sample they come from.
+    lexicon = sure.collect()
     scores = {r["token"]: float(r["odds"]) for r in lexicon}
     mass = float(sum(r["clean_share"] * r["odds"] for r in lexicon))
     cost = max(COST, 2 * mass)
@@ -257,30 +259,36 @@ def score_toxicity(
     text_col: str = "text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The ``keep`` columns as they are, ``held_out``, ``score``, ``predicted`` and the significant ``passages`` (token places
-    and units) of every whole text, one row per row. A null text is an empty one, which scores
-    as a text without evidence. Nothing but the text has a part in the score."""
+    """The id, the ``keep`` columns as they are, ``held_out``, ``score``, ``predicted`` and the
+    significant ``passages`` (token places and units) of every text, one row per row.
+
+    Texts are scored whole, however long. A null text is an empty one, which scores as a text
+    without evidence. Nothing but the text has a part in the score, so repeated rows score alike;
+    a null id is not held out. A kept column called as a result is left out. An empty table gives
+    no rows."""
     shipped = df.sparkSession.sparkContext.broadcast(model)
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    names = list(dict.fromkeys([id_col, *keep]))
+    results = ("held_out", "score", "predicted", "passages")
+    names = kept_apart([id_col, *[c for c in keep if c not in (id_col, *results)]])
 
     def score(rows):
         law, out = shipped.value, []
-        texts = [t or "" for t in rows[text_col]]
+        texts = [t or "" for t in rows["text"]]
         for text in texts:
             words = tokens(text)
             found = segments(hits(words, law.scores), law.cost)
             rated = zip(found, units(found, len(words), law), strict=True)
             out.append([{"first": a, "last": b, "units": u} for (_, a, b), u in rated if u > -math.log(EXPECTED)])
         found = {"score": [probability(t, law) for t in texts], "passages": out}
-        return {c: rows[c] for c in names} | found
+        return {c: rows[c] for c in names.values()} | found
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names)
+    schema = ", ".join(f"{r} {kinds[c]}" for c, r in names.items())
     schema += ", score double, passages array<struct<first: int, last: int, units: double>>"
-    scored = map_rows(df.select(*dict.fromkeys([*names, text_col])), score, schema)
+    picked = df.select(*[F.col(c).alias(r) for c, r in names.items()], F.col(text_col).alias("text"))
+    scored = map_rows(picked, score, schema)
     return scored.select(
-        *names,
-        held_out(id_col).alias("held_out"),
+        *[F.col(r).alias(c) for c, r in names.items()],
+        held_out(names[id_col]).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "passages",
