@@ -18,7 +18,7 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthwatt.llm.frames import map_rows, stored, text_or_empty
+from hearthwatt.llm.frames import kept_apart, map_rows, stored, text_or_empty
 from hearthwatt.llm.labelled import held_out, training_labels
 
 #: Values a measure is binned to: 0 to BINS - 1.
@@ -90,10 +90,10 @@ class QualityModel:
         return sum(parts, F.lit(0.0)) * DAMPING
 
 
-def train_quality(bins: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id") -> QualityModel:
-    """Count the bins of labelled documents that are not held out; a table of a few hundred
+def train_quality(bins: DataFrame, known: DataFrame, id_col: str = "doc_id") -> QualityModel:
+    """Count the bins of the documents whose label is ``known``; a table of a few hundred
     rows comes back, whatever the corpus. Without labels nothing is evidence."""
-    known = bins.join(training_labels(labels, label, id_col), id_col)
+    known = bins.join(known, id_col)
     counts = (
         known.select("label", F.posexplode("bins").alias("measure", "bin"))
         .groupBy("measure", "bin")
@@ -117,6 +117,11 @@ def train_quality(bins: DataFrame, labels: DataFrame, label: str = "quality", id
     return QualityModel(ratios, share)
 
 
+def _mean(good, n):
+    """The share of good ones among ``n`` documents, half a good and half a bad one added."""
+    return (good + 0.5) / (n + 1)
+
+
 def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
@@ -151,26 +156,30 @@ def score_quality(
     text_col: str = "text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``df``: the ``keep`` columns, ``held_out``, ``evidence``, ``host_posterior``,
-    ``path_posterior``, ``score`` (of being good) and ``keep`` (a score of one half or more).
-
-    Held-out labels are never used; the other ones count in their sites in place of what the
-    classifier says. A null text is an empty one. Rows without host or path form sites of
-    their own. Rows that repeat, or share an id, are documents each; they take the label of
-    their id. An empty table gives no rows.
+    """One row per row of ``df``: its id, the ``keep`` columns, ``held_out``, ``evidence``,
+    ``host_posterior``, ``path_posterior``, ``score`` (of being good) and ``keep`` (a score of one
+    half or more).
+
+    A document's own part is left out of its path, its host and the corpus, so its label never
+    speaks for itself. Held-out labels are never used; the other ones count in their sites in
+    place of what the classifier says. A null text is an empty one, a long one is measured whole.
+    Rows without host or path form sites of their own. Rows that repeat, or share an id, are
+    documents each; they take the label of their id. A kept column called as a result is left
+    out. An empty table gives no rows.
     """
-    names = list(dict.fromkeys([id_col, *keep]))
+    results = ("held_out", "evidence", "host_posterior", "path_posterior", "score", "keep")
+    names = kept_apart([id_col, *[c for c in keep if c not in (id_col, *results)]])
+    held = list(names.values())
     placed = df.select(
-        *names,
+        *[F.col(c).alias(r) for c, r in names.items()],
         F.coalesce(host().cast("string"), F.lit("")).alias("host"),
         F.coalesce(path().cast("string"), F.lit("")).alias("path"),
-        text_or_empty(text_col),
+        F.col(text_col).alias("text"),
     )
-    bins = stored(measured(placed, [*names, "host", "path"], text_col), "bins")
-    model = train_quality(bins, labels, id_col=id_col)
-    known = training_labels(labels, "quality", id_col)
-    own = model.evidence()
-    judged = bins.select(*names, "host", "path", own.alias("evidence")).join(known, id_col, "left")
+    bins = stored(measured(placed, [*held, "host", "path"]), "bins")
+    known = stored(training_labels(labels, "quality", id_col).withColumnRenamed(id_col, held[0]), "quality-labels")
+    model = train_quality(bins, known, id_col=held[0])
+    judged = bins.select(*held, "host", "path", model.evidence().alias("evidence")).join(known, held[0], "left")
     prior = math.log(model.share / (1 - model.share))
     judged = judged.withColumn("good", F.coalesce("label", 1 / (1 + F.exp(-(F.col("evidence") + prior)))))
     judged = stored(judged.drop("label"), "judged")
@@ -178,23 +187,26 @@ def score_quality(
     paths = stored(_sites(judged.withColumn("n", F.lit(1)), ["host", "path"]), "paths")
     hosts = stored(_sites(paths, ["host"]), "hosts")
     total = hosts.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
-    mean = ((total["good"] or 0.0) + 0.5) / ((total["n"] or 0) + 1)
-    weight = _prior_weight(hosts, F.lit(mean))
-    hosts = hosts.select(
-        "host", ((F.col("good") + weight * mean) / (F.col("n") + weight)).alias("host_posterior")
-    )
-    below = stored(paths.join(hosts, "host"), "sites")
-    path_weight = _prior_weight(below, F.col("host_posterior"))
-    sites = below.select("host", "path", "host_posterior", F.col("n").alias("site_n"), F.col("good").alias("site_good"))
-    others = (F.col("site_good") - F.col("good") + path_weight * F.col("host_posterior")) / (
-        F.col("site_n") - 1 + path_weight
+    good, n = total["good"] or 0.0, total["n"] or 0
+    host_weight = _prior_weight(hosts, F.lit(_mean(good, n)))
+    below = paths.join(hosts.select("host", F.col("n").alias("host_n"), F.col("good").alias("host_good")), "host")
+    below = stored(below, "sites")
+    host_share = (F.col("host_good") + host_weight * _mean(good, n)) / (F.col("host_n") + host_weight)
+    path_weight = _prior_weight(below, host_share)
+
+    sites = below.select("host", "path", "host_n", "host_good", F.col("n").alias("site_n"), F.col("good").alias("site_good"))
+    scored = judged.join(sites, ["host", "path"])
+    own = F.col("good")
+    mean = _mean(F.lit(good) - own, n - 1)
+    scored = scored.withColumn(
+        "host_posterior", (F.col("host_good") - own + host_weight * mean) / (F.col("host_n") - 1 + host_weight)
     )
-    bounded = F.least(F.greatest(others, F.lit(1e-3)), F.lit(1 - 1e-3))
-    scored = judged.join(sites, ["host", "path"]).withColumn("path_posterior", bounded)
+    others = (F.col("site_good") - own + path_weight * F.col("host_posterior")) / (F.col("site_n") - 1 + path_weight)
+    scored = scored.withColumn("path_posterior", F.least(F.greatest(others, F.lit(1e-3)), F.lit(1 - 1e-3)))
     score = 1 / (1 + F.exp(-(F.col("evidence") + _logit(F.col("path_posterior")))))
     return scored.select(
-        *names,
-        held_out(id_col).alias("held_out"),
+        *[F.col(r).alias(c) for c, r in names.items()],
+        held_out(held[0]).alias("held_out"),
         "evidence",
         "host_posterior",
         "path_posterior",
