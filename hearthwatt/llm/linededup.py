@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearthwatt.llm.frames import fresh
+
 #: Consecutive lines that must repeat together.
 WINDOW = 3
 
@@ -65,20 +67,19 @@ def dedup_lines(
     as one document and change alike; a null id comes first. No column is looked at but the
     two named; columns of ``df`` called ``lines`` or ``lines_removed`` are replaced.
     """
-    found = repeated_places(line_windows(df, size, id_col, text_col)).select(
-        F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), F.col("places").alias("__places")
-    )
-    same = F.col(id_col).eqNullSafe(F.col("__doc")) & (F.xxhash64(text_col) == F.col("__copy"))
-    lines = F.col("__lines")
+    doc, copy, places, split = fresh(df, "its_doc", "its_copy", "its_places", "its_lines")
+    found = repeated_places(line_windows(df, size, id_col, text_col)).toDF(doc, copy, places)
+    same = F.col(id_col).eqNullSafe(F.col(doc)) & (F.xxhash64(text_col) == F.col(copy))
+    lines = F.col(split)
     steps = F.array(*[F.lit(k) for k in range(size)])
-    covered = F.array_distinct(F.flatten(F.transform("__places", lambda p: F.transform(steps, lambda k: p + k))))
+    covered = F.array_distinct(F.flatten(F.transform(places, lambda p: F.transform(steps, lambda k: p + k))))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
-    joined = df.join(found, same, "left").withColumn("__lines", F.split(F.col(text_col), "\n", -1))
-    text = F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(
+    joined = df.join(found, same, "left").withColumn(split, F.split(F.col(text_col), "\n", -1))
+    text = F.when(F.col(places).isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     )
     counted = {
         "lines": F.coalesce(F.when(F.col(text_col).isNotNull(), F.size(lines)), F.lit(0)),
-        "lines_removed": F.when(F.col("__places").isNull(), 0).otherwise(F.size(covered)),
+        "lines_removed": F.when(F.col(places).isNull(), 0).otherwise(F.size(covered)),
     }
-    return joined.withColumns(counted | {text_col: text}).drop("__doc", "__copy", "__places", "__lines")
+    return joined.withColumns(counted | {text_col: text}).drop(doc, copy, places, split)
