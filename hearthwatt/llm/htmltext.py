@@ -12,8 +12,9 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from hearthwatt.llm.frames import map_rows, text_or_empty
+from hearthwatt.llm.frames import kept_apart, map_rows, text_or_empty
 
 # Fixed values of HTML: elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,6 +50,12 @@ OUTSIDE_WORDS = frozenset(
     "alert announcement search".split()
 )
 KEPT_WORDS = frozenset("article content entry main post story text body".split())
+#: Words that beside a word from OUTSIDE_WORDS don't change what it says.
+PLAIN_WORDS = frozenset(
+    "area articles bar block bottom box button buttons card cards col column container form global group icons inner "
+    "item items left link links list message module outer overlay page panel policy posts primary right row secondary "
+    "section signup site slot stories strip tags title top unit wrap wrapper zone".split()
+)
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 TOKEN = re.compile(
@@ -67,7 +74,10 @@ WHITE = re.compile(r"[ \t\n\r\f\v ]+")
 SIBLING_SHARE = 0.2
 SIBLING_CHARACTERS = 80
 SIBLING_LINKS = 0.25
-#: A list in which links have so much of the text is a menu.
+#: Points of an element that a name may put outside the article, and the share of links from
+#: which it then is.
+SUSPECT_POINTS, SUSPECT_LINKS = 0.5, 0.5
+#: Beside paragraphs that stand in the page itself, a list with such a share of links is a menu.
 MENU_LINKS = 0.8
 
 
@@ -77,6 +87,7 @@ class Element:
     parent: int
     outside: bool
     content: bool
+    suspect: bool = False
     points: float = 0.0
     own: float = 0.0
     characters: int = 0
@@ -94,9 +105,9 @@ class Block:
     linked: int
 
 
-def _names(attributes: str) -> tuple[set[str], bool]:
-    """Lower-case words of class, id and role, and whether the element is hidden."""
-    words: set[str] = set()
+def _names(attributes: str) -> tuple[list[set[str]], bool]:
+    """Lower-case words of each name in class, id and role, and whether the element is hidden."""
+    names: list[set[str]] = []
     hidden = False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -105,8 +116,8 @@ def _names(attributes: str) -> tuple[set[str], bool]:
         elif name == "style":
             hidden |= "display:none" in value.replace(" ", "").lower()
         else:
-            words.update(w.lower() for w in NAME_WORDS.findall(value))
-    return words, hidden
+            names.extend({w.lower() for w in NAME_WORDS.findall(name)} for name in value.split())
+    return names, hidden
 
 
 class Page:
@@ -127,16 +138,17 @@ class Page:
 
     def _flush(self) -> None:
         if self.parts:
-            text = WHITE.sub(" ", html.unescape("".join(self.parts))).strip(" ")
+            text = WHITE.sub(" ", "".join(self.parts)).strip(" ")
             if text:
                 self.blocks.append(Block(self._block(), text, min(self.linked, len(text))))
         self.parts, self.linked = [], 0
 
     def _text(self, text: str) -> None:
         if text and not self.elements[self.open[-1]].outside:
+            text = html.unescape(text)
             self.parts.append(text)
             if self.anchors:
-                self.linked += len(html.unescape(text).strip())
+                self.linked += len(text.strip())
 
     def _pop(self) -> None:
         if self.elements[self.open.pop()].name == "a":
@@ -161,15 +173,20 @@ class Page:
         if name == "a":
             self._close(("a",), STOPS)
         parent = self.elements[self.open[-1]]
-        words, hidden = _names(attributes) if attributes else (set(), False)
+        names, hidden = _names(attributes) if attributes else ([], False)
+        words, suspect = set().union(*names), False
         content = name in ("article", "main") or (name in BLOCKS and bool(words & KEPT_WORDS))
         outside = parent.outside or hidden or name in OUTSIDE
         if name not in ("article", "main", "body", "html"):
             within = any(self.elements[i].name in ("article", "main") for i in self.open)
-            marks = words & OUTSIDE_WORDS - ({"header"} if within else set())
-            outside |= bool(marks) and not (words & KEPT_WORDS and marks <= {"sidebar", "widget", "header", "nav"})
+            marking = OUTSIDE_WORDS - ({"header"} if within else set())
+            marked = [n for n in names if n & marking]
+            if marked and not (words & KEPT_WORDS and words & marking <= {"sidebar", "widget", "header", "nav"}):
+                # "related-posts" is outside; "related-work" may be anything.
+                clear = any(n <= OUTSIDE_WORDS | PLAIN_WORDS | KEPT_WORDS for n in marked)
+                outside, suspect = outside or clear, not clear
             outside |= name == "header" and not within
-        self.elements.append(Element(name, self.open[-1], outside, content))
+        self.elements.append(Element(name, self.open[-1], outside, content, suspect))
         parent.children.append(len(self.elements) - 1)
         if name in VOID:
             if name in ("br", "hr", "img", "wbr"):
@@ -228,7 +245,7 @@ def _score(page: Page) -> None:
 
 def _final(element: Element) -> float:
     density = element.linked / element.characters if element.characters else 0.0
-    return element.points * (1 - density) * (2 if element.content else 1)
+    return element.points * (1 - density) * (2 if element.content else 1) * (SUSPECT_POINTS if element.suspect else 1)
 
 
 def main_text(source: str) -> str:
@@ -250,9 +267,11 @@ def main_text(source: str) -> str:
         if (max(_final(e), e.own) >= max(limit, 1e-9) and few_links) or (e.name == "p" and e.characters >= SIBLING_CHARACTERS and few_links):
             chosen.add(i)
     kept = [False] * len(elements)
+    whole_page = elements[best].name in ("body", "html", "#page")
     for i, e in enumerate(elements):
-        menu = e.name in ("ul", "ol") and e.links > 1 and e.linked > MENU_LINKS * e.characters
-        kept[i] = i in chosen or (i > 0 and kept[e.parent] and not menu)
+        menu = whole_page and e.name in ("ul", "ol") and e.links > 1 and e.linked > MENU_LINKS * e.characters
+        foreign = e.suspect and e.linked > SUSPECT_LINKS * e.characters
+        kept[i] = i in chosen or (i > 0 and kept[e.parent] and not menu and not foreign)
     return "\n\n".join(b.text for b in page.blocks if kept[b.element])
 
 
@@ -262,15 +281,19 @@ def extract_text(
     """``id_col``, the ``keep`` columns, ``text`` and its length ``n_chars`` for every page.
 
     A null or empty page, or one with no text outside menus, adverts and the like, gives an
-    empty text. Pages cut off anywhere are read as far as they go. Each row, also a repeated
-    one, gives one row; further columns are not read.
+    empty text. Pages cut off anywhere are read as far as they go, long ones whole. Of elements
+    with equal points the first holds the main text. Within it lists of links and sections stay,
+    whatever a part of their names may hint at, if they are text and not links. Each row, also a
+    repeated one, gives one row; further columns are not read. An empty table gives no rows.
     """
-    names = [id_col, *keep]
+    names = [id_col, *[c for c in keep if c not in (id_col, "text", "n_chars")]]
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def extract(rows):
-        texts = [main_text(source) for source in rows[html_col]]
-        return {c: rows[c] for c in names} | {"text": texts, "n_chars": [len(t) for t in texts]}
+        texts = [main_text(source) for source in rows["html"]]
+        return {c: rows[c] for c in apart.values()} | {"text": texts, "n_chars": [len(t) for t in texts]}
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", text string, n_chars long"
-    return map_rows(df.select(*names, text_or_empty(html_col)), extract, schema)
+    apart = kept_apart(names)
+    schema = ", ".join(f"{r} {kinds[c]}" for c, r in apart.items()) + ", text string, n_chars long"
+    picked = df.select(*[F.col(c).alias(r) for c, r in apart.items()], text_or_empty(html_col).alias("html"))
+    return map_rows(picked, extract, schema).withColumnsRenamed({r: c for c, r in apart.items()})
