@@ -55,7 +55,6 @@ def test_op1(spark, texts):
 def test_op2(spark, texts):
     rows = rows_of(spark, "op2_best_two_fit")
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     held, pieces = {}, {}
     for r in rows:
         held.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hearthwatt.llm import merkle, sharding, spectrum, whitening
+from hearthwatt.llm import merkle, ordering, sharding, spectrum, whitening
 from hearthwatt.llm.queries import QUERIES, table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -152,7 +152,7 @@ def test_op12_in_blocks_of_any_height(spark, height):
 
 def test_merkle_hot_source_in_many_ranges(spark, monkeypatch):
     """A source that fills most ranges of the order, and many small ones."""
-    monkeypatch.setattr(merkle, "LEAST_ROWS", 10)
+    monkeypatch.setattr(ordering, "LEAST_ROWS", 10)
     df = table(spark, SF_DIR, "documents").withColumn("source", F.expr("CASE WHEN doc_id % 3 > 0 THEN 'hot' WHEN doc_id % 2 > 0 THEN concat('s', doc_id) END"))
     same(merkle.merkle_manifest(df, height=2).collect(), [r.asDict() for r in df.collect()])
 
