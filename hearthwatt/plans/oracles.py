@@ -144,7 +144,7 @@ def _metrics(label: str, prediction: str) -> str:
             _r(f"avg(abs({error}))", "mae"),
             _r(r2, "r2"),
             _r(f"{r2} * 100", "r2_pct"),
-            _r(f"avg(abs({error} / ({base}))) * 100", "mape", 2),
+            _r(f"avg(abs({error} / ({base}))) * 100", "mape", 6),
             f"count(*) FILTER (WHERE {label} = 0)::bigint AS zero_labels",
         )
     )
@@ -293,10 +293,10 @@ ORACLES: dict[str, str] = {
     "featured_orders": """WITH daily AS (
   SELECT o_custkey, date_trunc('day', o_orderdate)::timestamp AS o_orderdate, avg(o_totalprice) AS consumption
   FROM orders GROUP BY 1, 2)
-  SELECT o_custkey, o_orderdate, round(consumption, 4) AS consumption,
-  round(lag(consumption, 1) OVER w, 4) AS lag_1, round(lag(consumption, 3) OVER w, 4) AS lag_3,
-  round(avg(consumption) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS rolling_mean_3,
-  round(stddev_samp(consumption) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS rolling_std_3
+  SELECT o_custkey, o_orderdate, round(consumption, 6) AS consumption,
+  round(lag(consumption, 1) OVER w, 6) AS lag_1, round(lag(consumption, 3) OVER w, 6) AS lag_3,
+  round(avg(consumption) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS rolling_mean_3,
+  round(stddev_samp(consumption) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS rolling_std_3
   FROM daily WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)""",
     # model inputs and metrics
     "index_categories": f"""WITH {_READINGS}, a AS ({_index('appliance_type')}), s AS ({_index('season')})
@@ -341,6 +341,19 @@ ORACLES: dict[str, str] = {
   FROM split WHERE split = 'train')
   SELECT home_id, ts, split, {_r('base + slope * lag_24', 'prediction', 5)} FROM split CROSS JOIN line
   WHERE split <> 'train'""",
+    "model_round_trip": f"""WITH {_NAIVE}, {_trained()}, line AS (
+  SELECT regr_slope(consumption, lag_24) AS slope, regr_intercept(consumption, lag_24) AS base
+  FROM split WHERE split = 'train')
+  SELECT home_id, ts, split, {_r('base + slope * lag_24', 'prediction', 5)} FROM split CROSS JOIN line
+  WHERE split <> 'train'""",
+    "tree_on_hour": f"""WITH {_NAIVE}, {_trained()}, by_hour AS (
+  SELECT hour(ts) AS hour, count(*) AS n, sum(consumption) AS total FROM split WHERE split = 'train' GROUP BY 1),
+  parted AS (SELECT hour, sum(n) OVER w AS n, sum(total) OVER w AS total, sum(n) OVER () AS all_n,
+    sum(total) OVER () AS all_total FROM by_hour WINDOW w AS (ORDER BY hour)),
+  best AS (SELECT hour AS cut, total / n AS low, (all_total - total) / (all_n - n) AS high FROM parted WHERE n < all_n
+    ORDER BY total * total / n + (all_total - total) * (all_total - total) / (all_n - n) DESC LIMIT 1)
+  SELECT home_id, ts, split, {_r('CASE WHEN hour(ts) <= cut THEN low ELSE high END', 'prediction', 5)}
+  FROM split CROSS JOIN best WHERE split <> 'train'""",
     **{
         f"{model}_by_appliance": _report(
             f"appliance_type, {_r('avg(energy_consumption)', 'low', 5)}, {_r('avg(energy_consumption)', 'high', 5)}",
