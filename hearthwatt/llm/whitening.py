@@ -97,11 +97,24 @@ def scatter(fit: DataFrame) -> tuple[int, list[int], list[list[int]]]:
 
 def _deviations(x: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
     """``n * x - S`` as exact integers: of 64 bits where these surely suffice."""
-    largest = max(int(np.abs(x).max()) * n + max(map(abs, sums)), 1) if len(x) else 1
-    kind = np.int64 if largest * largest * len(sums) < 1 << 62 else object
+    largest = int(np.abs(x).max()) * n + max(map(abs, sums)) if len(x) else 0
+    kind = np.int64 if largest < 1 << 62 else object
     return x.astype(kind) * n - np.array(sums, kind)
 
 
+def _squares(away: np.ndarray) -> list[int | None]:
+    """The exact sum of squares of each row, or none where it exceeds 64 bits."""
+    if away.dtype == object:
+        sums = [int(v) for v in (away * away).sum(axis=1)]
+    else:
+        # Halves of 16 bits: a larger entry's square alone exceeds 64 bits.
+        beyond = (np.abs(away) >= 1 << 32).any(axis=1)
+        high, low = np.where(beyond[:, None], 0, away) >> 16, away & 0xFFFF
+        parts = [(a * b).sum(axis=1).tolist() for a, b in ((high, high), (high, low), (low, low))]
+        sums = [1 << 64 if far else (a << 32) + (b << 17) + c for far, a, b, c in zip(beyond, *parts, strict=True)]
+    return [v if v < 1 << 63 else None for v in sums]
+
+
 def whiten(df: DataFrame, top: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For each usable row and each of the first ``top`` components: ``n``, the row's squared
     ``deviation``, its ``whitened`` value, the share ``explained`` of the variance, and
@@ -136,7 +149,7 @@ def whiten(df: DataFrame, top: int = 16, id_col: str = "vec_id", vector_col: str
             for start in range(0, batch.num_rows if count else 0, VECTORS_AT_ONCE):
                 part = batch.slice(start, VECTORS_AT_ONCE)
                 away = _deviations(_matrix(part.column(1)), n, sums)
-                squares = [v if v < 1 << 63 else None for v in map(int, (away * away).sum(axis=1))]
+                squares = _squares(away)
                 values = away.astype(np.float64) @ weights
                 each = np.repeat(np.arange(len(part)), count)
                 columns = [
