@@ -23,6 +23,9 @@ from hearthwatt.llm.frames import find_package, stored
 OVERHEAD = 16
 #: Rows numbered by one task.
 ROWS_AT_ONCE = 50_000
+#: A group of more than this share of all rows meets its rows by a broadcast. There are fewer
+#: such groups than one over the share.
+HOT_SHARE = 0.001
 
 Node = list  # key, priority, left, right
 
@@ -170,6 +173,17 @@ def _numbered(df: DataFrame, key: str, spread: str, rows: int, name: str, order:
     return ranked.join(starts, same).withColumn("number", F.col("start") + F.col("within")).drop("its_key", "its_part", "part", "within", "start")
 
 
+def _with_shards(slim: DataFrame, placed: DataFrame, rows: int) -> DataFrame:
+    """``slim`` with the shard of each row's group. Rows of hot groups stay where they lie; only
+    the others are shuffled by group, so no task gets more than a small share of the table."""
+    hot = placed.where(F.col("n") > rows * HOT_SHARE).drop("n")
+    usual = placed.where(F.col("n") <= rows * HOT_SHARE).drop("n")
+    same = F.col("copy") == F.col("its_copy")
+    heavy = slim.join(F.broadcast(hot), same)
+    others = slim.join(F.broadcast(hot), same, "left_anti").join(usual, same)
+    return heavy.unionByName(others).drop("copy", "its_copy")
+
+
 def shard_documents(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its ``size`` in bytes, the CRC-32 of its text, its ``shard`` and its
     ``slot`` there, from 0 without gaps. The law is ``bytes``: sizes of shards are as near to each
@@ -191,15 +205,15 @@ def shard_documents(df: DataFrame, shards: int = 40, id_col: str = "doc_id", tex
     )
     slim = stored(slim.withColumn("row", F.monotonically_increasing_id()), "shard-rows")
     rows = slim.count()
-    groups = stored(slim.groupBy("copy").agg(F.sum("size").alias("weight")), "shard-groups")
+    groups = stored(slim.groupBy("copy").agg(F.sum("size").alias("weight"), F.count("*").alias("n")), "shard-groups")
     histogram = stored(groups.groupBy("weight").agg(F.count("*").alias("n")), "shard-sizes")
     runs = stored(_runs(histogram, shards), "shard-runs")
 
     ranked = _numbered(groups, "weight", "copy", rows, "shard-ranks", ["copy"])
     known = runs.withColumnRenamed("weight", "run_weight")
     here = (F.col("weight") == F.col("run_weight")) & F.col("number").between(F.col("first"), F.col("last"))
-    placed = stored(ranked.join(known, here).select(F.col("copy").alias("its_copy"), "shard"), "shard-places")
-    sharded = stored(slim.join(placed, F.col("copy") == F.col("its_copy")).drop("copy", "its_copy"), "shard-documents")
+    placed = stored(ranked.join(known, here).select(F.col("copy").alias("its_copy"), "n", "shard"), "shard-places")
+    sharded = stored(_with_shards(slim, placed, rows), "shard-documents")
     slots = _numbered(sharded, "shard", "row", rows, "shard-slots", ["doc_id", "row"])
     return slots.select(
         "doc_id",

@@ -60,6 +60,16 @@ def test_op11(spark):
     assert rows.identity_error.nunique() == 1 and rows.identity_error[0] < 1e-9
 
 
+@pytest.mark.parametrize("n", [3, 10**5, 10**8, 10**10, 10**17])
+def test_squares_are_exact(n):
+    """Whatever the number of vectors, also where 64 bits do not hold a sum of squares."""
+    x = np.random.default_rng(0).integers(-70, 70, (50, 64))
+    x[0], x[1, :], x[1, 0] = 0, 0, 1
+    sums = [int(v) for v in x.sum(axis=0)]
+    wanted = [sum((int(v) * n - s) ** 2 for v, s in zip(row, sums, strict=True)) for row in x]
+    assert whitening._squares(whitening._deviations(x, n, sums)) == [v if v < 1 << 63 else None for v in wanted]
+
+
 def test_whitening_awkward(spark):
     rows = [
         (1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.001, 2.0]), (None, [0.5, 1.0]), (3, None),
@@ -232,6 +242,14 @@ def test_shards_with_a_hot_group(spark, monkeypatch):
     assert largest == 500 * 296 and len(others) == 9 and max(others) - min(others) < 300
 
 
+def test_hot_groups_beside_others(spark, monkeypatch):
+    """Some groups are broadcast, the others shuffled: each row meets its group once."""
+    monkeypatch.setattr(sharding, "HOT_SHARE", 0.1)
+    rows = [(i, f"copy of {i % 3}") for i in range(600)] + [(1000 + i, f"text {i // 2}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(shards_of(df, 5)) == 5
+
+
 def test_shards_awkward(spark, awkward, empty):
     assert len(shards_of(awkward.selectExpr("*", "1 AS row", "2 AS shard", "3 AS size"))) <= 9
     assert len(shards_of(awkward, 1)) == 1
