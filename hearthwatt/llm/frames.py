@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -32,17 +33,40 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/hearthwatt-llm/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables stored on the way to a result, for each thread by itself.
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def stored(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back.
 
     The written table cuts the lineage, survives the loss of executors and tells Spark its
-    size before a join. It stays until ``delete`` or the owner of that folder removes it.
+    size before a join. It stays until ``delete``, a ``stored_result`` around it or the owner of
+    that folder removes it.
     """
     path = path or new_path(df.sparkSession, name)
+    if (scratch := _scratch.get()) is not None:
+        scratch.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_result(spark: SparkSession, make: Callable[[], DataFrame], path: str) -> DataFrame:
+    """What ``make`` returns, stored at ``path``. All tables that were stored on the way there are
+    deleted, also if it fails: the result is written by then and reads none of them."""
+    scratch: list[str] = []
+    outer = _scratch.set(scratch)
+    try:
+        return stored(make(), path=path)
+    finally:
+        _scratch.reset(outer)
+        if (held := _scratch.get()) is not None:
+            held.append(path)
+        for other in scratch:
+            if other != path:
+                delete(spark, other)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a stored table that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,7 @@
 """Operators on awkward rows and small hand-made cases."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +10,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hearthwatt.llm import bpe, fingerprint, htmltext, linededup, packing, quality, simhash, toxicity, warc
+from hearthwatt.llm import bpe, fingerprint, frames, htmltext, linededup, packing, quality, simhash, toxicity, warc
 from hearthwatt.llm.components import components
 from hearthwatt.llm.frames import new_path
 from hearthwatt.llm.neighbours import nearest
@@ -464,6 +465,35 @@ def test_pipeline_stages(spark, awkward, empty):
             kept = spark.createDataFrame(out.collect(), out.schema)
 
 
+def test_scratch_goes_when_a_result_is_stored(spark, tmp_path):
+    def tables(where):
+        return sorted(p.name for p in where.iterdir())
+
+    def make():
+        once = frames.stored(spark.range(10), path=f"{tmp_path}/once")
+        return frames.stored(once.where("id > 4"), path=f"{tmp_path}/twice")
+
+    other = frames.stored(spark.range(3), path=f"{tmp_path}/other")
+    assert frames.stored_result(spark, make, f"{tmp_path}/result").count() == 5
+    assert tables(tmp_path) == ["other", "result"] and other.count() == 3
+
+    def fail():
+        make()
+        raise ValueError("stop")
+
+    with pytest.raises(ValueError, match="stop"):
+        frames.stored_result(spark, fail, f"{tmp_path}/never")
+    assert tables(tmp_path) == ["other", "result"]
+
+
+def test_pipeline_leaves_its_result_only(spark):
+    folder = Path(frames.shared_folder(spark).removeprefix("file:")) / "hearthwatt-llm"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert rows.count() > 0
+    assert [p.name.split("-")[:2] for p in set(folder.iterdir()) - before] == [["stage", "packing"]]
+
+
 def test_near_dedup_keeps_the_smallest_id_of_each_group(spark):
     rows = [(5, "one two three four"), (2, "one two three four"), (2, "one two three four"), (9, None), (8, ""), (None, "one two three four"), (None, "else entirely it is"), (None, "else entirely it is"), (7, "quite another text here")]
     docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
