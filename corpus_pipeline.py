@@ -3,7 +3,8 @@
 Each stage takes the documents its predecessor kept, and its decisions take effect: rejected
 documents and repeated lines are gone for the next. All but the last return the columns of
 ``documents``. Between stages ``run`` writes Parquet into the shared folder and reads it back,
-so a lost executor costs one stage's tasks at most.
+so a lost executor costs one stage's tasks at most. A stage's scratch goes when its result is
+written, and that result when the next one's is.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthwatt.llm.frames import find_package, stored
+from hearthwatt.llm.frames import delete, find_package, new_path, stored, stored_result
 from hearthwatt.llm.linededup import dedup_lines
 from hearthwatt.llm.packing import pack_documents
 from hearthwatt.llm.quality import score_quality
@@ -92,6 +93,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     find_package(spark)
     docs = table(spark, sf_dir, "documents").select(COLUMNS)
+    last = None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_path(spark, f"stage-{name}")
+        docs = stored_result(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), path)
+        if last:
+            delete(spark, last)
+        last = path
     return docs
