@@ -104,15 +104,37 @@ def write_warc(
     ).text(path)
 
 
-def _parsed(text: str) -> tuple[dict[str, str], str] | None:
-    """Headers and block of a record, or nothing while its block is not complete."""
+def _parsed(text: str) -> tuple[dict[str, str], str]:
+    """Headers of a record, and its block as far as the text goes."""
     head, _, rest = text.partition(RECORD_END)
-    headers = dict(line.split(": ", 1) for line in head.split("\r\n") if ": " in line)
-    size = int(headers["Content-Length"])
-    if len(rest) >= size and rest.isascii():
-        return headers, rest[:size]
-    raw = rest.encode()
-    return (headers, raw[:size].decode()) if len(raw) >= size else None
+    return dict(line.split(": ", 1) for line in head.split("\r\n") if ": " in line), rest
+
+
+def _size(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
+def records(parts: Iterator[str]) -> Iterator[tuple[dict[str, str], str]]:
+    """Headers and block of each record, from parts cut at every record's end that a version line
+    follows. A block of many parts is put together once, when it has its stated length."""
+    headers: dict[str, str] = {}
+    held: list[str] = []
+    missing = 0
+    for part in parts:
+        if held:
+            part = RECORD_END + VERSION + part
+        else:
+            headers, part = _parsed(part.removeprefix(VERSION))
+            missing = int(headers["Content-Length"])
+        held.append(part)
+        missing -= _size(part)
+        if missing <= 0:
+            block = "".join(held)
+            # What is too much ends the file.
+            yield headers, block.encode()[:missing].decode() if missing else block
+            held = []
+    if held:
+        raise ValueError("an archive ends within a record")
 
 
 def _row(headers: dict[str, str], block: str, with_bytes: bool) -> tuple:
@@ -154,19 +176,11 @@ def read_warc(spark: SparkSession, path: str, with_bytes: bool = True) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        held = ""
-        for batch in batches:
-            for part in batch.column(0).to_pylist():
-                held = held + RECORD_END + VERSION + part if held else part.removeprefix(VERSION)
-                if (found := _parsed(held)) is None:
-                    continue
-                rows.append(_row(*found, with_bytes))
-                held = ""
-                if len(rows) >= ROWS_OUT:
-                    yield pa.RecordBatch.from_pylist([dict(zip(target.names, r, strict=True)) for r in rows], schema=target)
-                    rows = []
-        if held:
-            raise ValueError("an archive ends within a record")
+        for headers, block in records(part for batch in batches for part in batch.column(0).to_pylist()):
+            rows.append(_row(headers, block, with_bytes))
+            if len(rows) >= ROWS_OUT:
+                yield pa.RecordBatch.from_pylist([dict(zip(target.names, r, strict=True)) for r in rows], schema=target)
+                rows = []
         yield pa.RecordBatch.from_pylist([dict(zip(target.names, r, strict=True)) for r in rows], schema=target)
 
     parts = spark.read.option("lineSep", RECORD_END + VERSION).text(path)

@@ -156,6 +156,17 @@ def test_warc_holds_any_payload(spark):
     assert warc.warc_revisits(pages.limit(0)).isEmpty()
 
 
+def test_warc_blocks_of_many_parts():
+    """Payloads that hold what separates records, also at their ends; each part is read once."""
+    separator = warc.RECORD_END + warc.VERSION
+    blocks = [separator * 100_000 + "é", "", separator, "x" + warc.RECORD_END, "😀" + separator + "\r\n"]
+    archive = warc.RECORD_END.join(f"{warc.VERSION}Content-Length: {len(b.encode())}{warc.RECORD_END}{b}" for b in blocks)
+    parts = (archive + warc.RECORD_END).split(separator)
+    assert [block for _, block in warc.records(iter(parts))] == blocks
+    with pytest.raises(ValueError):
+        list(warc.records(iter(parts[:10])))
+
+
 def test_fingerprints_of_awkward_rows(awkward, empty):
     assert fingerprint.fingerprints_with_edits(empty).isEmpty()
     rows = fingerprint.fingerprints_with_edits(awkward).collect()
