@@ -56,7 +56,10 @@ def delete_written(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """What the session names: ``spark.checkpoint.dir``, or where that is unset, as in a local
-    session, its warehouse folder. Never a temporary folder of one machine."""
+    """What the session names: ``spark.checkpoint.dir``, or where that is unset, in a session of
+    one process, its warehouse folder. On a cluster that may be a folder of one machine, so there
+    the setting must be given."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

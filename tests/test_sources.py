@@ -12,6 +12,7 @@ from hearthwatt.sources import (
     read_csv_readings,
     read_parquet,
     schema_report,
+    shared_folder,
     write_parquet,
     write_single_csv,
     written_once,
@@ -78,6 +79,26 @@ def test_preview_is_ordered(spark):
     assert [r["id"] for r in preview_rows(df, ["id"], 5).collect()] == [0, 1, 2, 3, 4]
 
 
+class Session:
+    """What is asked of a session to find its shared folder."""
+
+    def __init__(self, master, settings):
+        self.master, self.conf, self.sparkContext = master, self, self
+        self.get = lambda name, default=None: settings.get(name, default)
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    warehouse = {"spark.sql.warehouse.dir": "file:/w/"}
+    assert shared_folder(Session("local[8]", warehouse)) == "file:/w"
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        assert shared_folder(Session(master, warehouse | {"spark.checkpoint.dir": "s3://b/c/"})) == "s3://b/c"
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(master, warehouse))
+
+
 def test_written_once_uses_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     before = set(Path(folder).glob("hearthwatt-*"))
