@@ -10,6 +10,7 @@ Equal vectors are one vertex: its graph has no ties, and their ids follow from a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -82,28 +83,39 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _start(nodes: DataFrame, pivots: np.ndarray, degree: int, order: int, tasks: int) -> DataFrame:
-    """Exact neighbours within blocks of vectors that follow each other in an order: by nearest
-    pivot, then by a random projection."""
-    line = np.random.default_rng(order).standard_normal(pivots.shape[1]).astype(np.float32)
+def _start(nodes: DataFrame, chosen: np.ndarray, degree: int, tasks: int) -> DataFrame:
+    """Exact neighbours within blocks of vectors that follow each other in one of several orders: by
+    nearest pivot of that order, then by a random projection. All orders share one shuffle."""
+    orders = []
+    for order in range(ORDERS):
+        pivots = chosen[order::ORDERS] if len(chosen) >= ORDERS else chosen
+        orders.append((pivots, np.random.default_rng(order).standard_normal(chosen.shape[1]).astype(np.float32)))
 
-    def sort_key(batches):
+    def sort_keys(batches):
         for batch in batches:
             v = _floats(batch.column("raw"), "<f4")
-            cell = (v @ pivots.T).argmax(axis=1)
-            key = cell + 1 / (1 + np.exp(-(v @ line).astype(np.float64)))
-            yield {"node": batch.column("node"), "raw": batch.column("raw"), "key": key}
+            for order, (pivots, line) in enumerate(orders):
+                cell = (v @ pivots.T).argmax(axis=1)
+                key = cell + 1 / (1 + np.exp(-(v @ line).astype(np.float64)))
+                ways = np.full(len(key), order)
+                yield {"node": batch.column("node"), "raw": batch.column("raw"), "way": ways, "key": key}
 
     def meet(batches):
         held: list[pa.RecordBatch] = []
         rows = 0
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                held.append(batch.slice(start, BLOCK))
-                rows += held[-1].num_rows
-                if rows >= BLOCK:
-                    yield block(held)
-                    held, rows = [], 0
+            ways = batch.column("way").to_numpy()
+            cuts = [0, *(np.flatnonzero(ways[1:] != ways[:-1]) + 1).tolist(), len(ways)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                for start in range(a, b, BLOCK):
+                    if held and held[-1].column("way")[0].as_py() != ways[start]:
+                        yield block(held)
+                        held, rows = [], 0
+                    held.append(batch.slice(start, min(BLOCK, b - start)))
+                    rows += held[-1].num_rows
+                    if rows >= BLOCK:
+                        yield block(held)
+                        held, rows = [], 0
         if held:
             yield block(held)
 
@@ -118,8 +130,8 @@ def _start(nodes: DataFrame, pivots: np.ndarray, degree: int, order: int, tasks:
         found = near[rows, best.ravel()]
         return {"a": ids[rows], "b": ids[best.ravel()], "near": found, "fresh": np.ones(len(found), bool)}
 
-    keyed = _run(nodes.select("node", "raw"), sort_key, "node long, raw binary, key double")
-    dealt = keyed.repartitionByRange(tasks, "key").sortWithinPartitions("key")
+    keyed = _run(nodes.select("node", "raw"), sort_keys, "node long, raw binary, way long, key double")
+    dealt = keyed.repartitionByRange(tasks, "way", "key").sortWithinPartitions("way", "key")
     return _run(dealt, meet, LINK)
 
 
@@ -159,7 +171,7 @@ def _best(links: DataFrame, degree: int, round_number: int) -> DataFrame:
         if held:
             yield {c: [h[c] for h in held] for c in held[0]}
 
-    ordered = _trimmed(links, degree).repartition("a").sortWithinPartitions("a")
+    ordered = links.select("a", "b", "near", "fresh").repartition("a").sortWithinPartitions("a")
     schema = (
         "node long, others array<long>, near array<float>, fresh array<boolean>, "
         "met array<long>, met_fresh array<boolean>"
@@ -167,30 +179,24 @@ def _best(links: DataFrame, degree: int, round_number: int) -> DataFrame:
     return _run(ordered, several, schema)
 
 
-def _trimmed(links: DataFrame, degree: int) -> DataFrame:
-    """Drop, within each batch, links that can't be among the best of their vertex, so that a
-    vertex that many introduce sends few rows to its reducer."""
-
-    def trim(batches):
-        for batch in batches:
-            a, b, near, fresh = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "near", "fresh"))
-            # Of equal pairs one that has met comes first and is kept.
-            order = np.lexsort((fresh, b, a))
-            a, b, near, fresh = a[order], b[order], near[order], fresh[order]
-            once = np.ones(len(a), bool)
-            once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            a, b, near, fresh = a[once], b[once], near[once], fresh[once]
-            order = np.lexsort((b, -near, a))
-            a, b, near, fresh = a[order], b[order], near[order], fresh[order]
-            starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, int)
-            rank = np.arange(len(a)) - np.repeat(starts, np.diff(np.append(starts, len(a))))
-            good = rank < degree
-            yield {"a": a[good], "b": b[good], "near": near[good], "fresh": fresh[good]}
-
-    return _run(links.select("a", "b", "near", "fresh"), trim, LINK)
-
-
-def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
+def _trimmed(a: np.ndarray, b: np.ndarray, near: np.ndarray, fresh: np.ndarray, degree: int) -> dict:
+    """Links without those that can't be among the best of their vertex, so that a vertex that many
+    introduce sends few rows to its reducer."""
+    # Of equal pairs one that has met comes first and is kept.
+    order = np.lexsort((fresh, b, a))
+    a, b, near, fresh = a[order], b[order], near[order], fresh[order]
+    once = np.ones(len(a), bool)
+    once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    a, b, near, fresh = a[once], b[once], near[once], fresh[once]
+    order = np.lexsort((b, -near, a))
+    a, b, near, fresh = a[order], b[order], near[order], fresh[order]
+    starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, int)
+    rank = np.arange(len(a)) - np.repeat(starts, np.diff(np.append(starts, len(a))))
+    good = rank < degree
+    return {"a": a[good], "b": b[good], "near": near[good], "fresh": fresh[good]}
+
+
+def _meet(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
     """One round of NN-descent: all pairs among a vertex's sampled neighbours, in both
     directions, of which one is fresh and that are better than the worst link known so far."""
     pairs = graph.select(F.col("node").alias("v"), F.explode(F.arrays_zip("met", "met_fresh")).alias("x"))
@@ -226,10 +232,10 @@ def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
             held.append(part)
             rows += len(part[0])
             if rows > 100_000:
-                yield dict(zip(("a", "b", "near", "fresh"), map(np.concatenate, zip(*held, strict=True)), strict=True))
+                yield _trimmed(*map(np.concatenate, zip(*held, strict=True)), degree)
                 held, rows = [], 0
         if held:
-            yield dict(zip(("a", "b", "near", "fresh"), map(np.concatenate, zip(*held, strict=True)), strict=True))
+            yield _trimmed(*map(np.concatenate, zip(*held, strict=True)), degree)
 
     ordered = members.select("v", "a", "fresh", "half", "worst").repartition("v").sortWithinPartitions("v")
     return _run(ordered, several, LINK)
@@ -243,22 +249,17 @@ def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, settled: float = SET
     count = min(MOST_PIVOTS, max(LEAST_PIVOTS, vertices // VECTORS_PER_PIVOT))
     # A task's last block may be short, so a task gets a few.
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(tasks, vertices // (2 * BLOCK)))
+    tasks = ORDERS * max(1, min(tasks, vertices // (2 * BLOCK)))
     by_hash = nodes.select("raw", F.xxhash64("node", F.lit("pivot")).alias("key")).orderBy("key")
     chosen = np.array([np.frombuffer(r["raw"], "<f4") for r in by_hash.limit(count * ORDERS).collect()])
-    links = None
-    for order in range(ORDERS if len(chosen) else 0):
-        more = _start(nodes, chosen[order::ORDERS] if len(chosen) >= ORDERS else chosen, degree, order, tasks)
-        links = more if links is None else links.union(more)
-    if links is None:
-        links = nodes.sparkSession.createDataFrame([], LINK)
+    links = _start(nodes, chosen, degree, tasks) if len(chosen) else nodes.sparkSession.createDataFrame([], LINK)
     graph = stored(_best(links, degree, 0), "graph")
     number = 0
     while _unmet(graph) >= settled:
         number += 1
         old = graph.select(F.col("node").alias("a"), F.explode(F.arrays_zip("others", "near", "fresh")).alias("x"))
         old = old.select("a", F.col("x.others").alias("b"), F.col("x.near").alias("near"), F.col("x.fresh").alias("fresh"))
-        graph = stored(_best(old.union(_meet(graph, nodes)), degree, number), "graph")
+        graph = stored(_best(old.union(_meet(graph, nodes, degree)), degree, number), "graph")
     return graph
 
 
@@ -274,7 +275,8 @@ def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) ->
 
     A vertex's links are walked both ways. Each step expands the best unexpanded vertices of
     every query at once; vertices a query has met are not fetched again. A query ends when all
-    of its best vertices are expanded, which it must, as it expands no vertex twice.
+    of its best vertices are expanded, which it must, as it expands no vertex twice. Later steps
+    neither read nor write a query that has ended.
     """
     forward = graph.select("node", F.explode("others").alias("w"))
     by_chance = Window.partitionBy("node").orderBy(F.xxhash64("w", "node"), "w")
@@ -313,14 +315,16 @@ def _walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) ->
         F.array().cast("array<double>").alias("score"),
         F.array("node").alias("open"),
     )
-    state = stored(state, "walk")
-    while not (going := state.where(F.size("open") > 0)).isEmpty():
+    going, ended = stored(state, "walk"), []
+    while not going.isEmpty():
         ahead = going.select("q", F.explode(F.slice("open", 1, EXPANDED)).alias("node"))
         reached = ahead.join(links, "node").groupBy("q").agg(F.flatten(F.collect_list("ws")).alias("ws"))
         new = going.select("q", "met").join(reached, "q").select("q", F.explode(F.array_except("ws", "met")).alias("w"))
         found = new.join(vectors, "w").withColumnRenamed("q", "asker").groupBy("asker")
-        state = stored(state.groupBy("q").cogroup(found).applyInArrow(step, schema), "walk")
-    return state.select("q", F.explode("beam").alias("w"))
+        state = stored(going.groupBy("q").cogroup(found).applyInArrow(step, schema), "walk")
+        going = state.where(F.size("open") > 0)
+        ended.append(state.where(F.size("open") == 0))
+    return reduce(DataFrame.union, ended, going).select("q", F.explode("beam").alias("w"))
 
 
 def nearest(
