@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -62,6 +62,10 @@ MOST_CATEGORIES = 10_000
 # follow from the machine; a large training set should be given more.
 TRAINING_PARTITIONS = 16
 
+# Models fitted at the same time. A fit is hundreds of short passes with as many tasks as there are
+# training partitions; another fit's tasks use the cores that those leave idle. No result depends on it.
+FITS_AT_ONCE = 3
+
 _REGRESSORS = {
     "linear": LinearRegression,
     "tree": DecisionTreeRegressor,
@@ -229,12 +233,17 @@ def _fit(
         extra = {"featuresCol": _SCALED} if name == "linear" else {"featuresCol": _RAW, "maxBins": bins}
         return name, _REGRESSORS[name](labelCol="label", **{**extra, **_SPEED.get(name, {}), **options}).fit(prepared)
 
-    if parallelism == 1:
-        models = dict(map(fit_one, settings.items()))
-    else:
-        with ThreadPoolExecutor(parallelism) as pool:
-            task = inheritable_thread_target(train.sparkSession)(fit_one)
-            models = dict(pool.map(task, settings.items()))
+    # All fits read these rows, which are shuffled once. Trees keep their own form of them in memory.
+    prepared = prepared.persist(StorageLevel.DISK_ONLY)
+    try:
+        if parallelism == 1:
+            models = dict(map(fit_one, settings.items()))
+        else:
+            with ThreadPoolExecutor(parallelism) as pool:
+                task = inheritable_thread_target(train.sparkSession)(fit_one)
+                models = dict(pool.map(task, settings.items()))
+    finally:
+        prepared.unpersist()
     return FittedModels(tuple(fitted.stages), models, tuple(numbers))
 
 
@@ -255,7 +264,7 @@ def fit_forecast(
     train: DataFrame,
     settings: Mapping[str, Mapping] = FORECAST_SETTINGS,
     label: str = LABEL,
-    parallelism: int = 1,
+    parallelism: int = FITS_AT_ONCE,
 ) -> FittedModels:
     """Forecast models on a featured hourly series (training rows only)."""
     return _fit(train, forecast_steps(), FEATURES, label, settings, parallelism)
@@ -265,7 +274,7 @@ def fit_household(
     train: DataFrame,
     settings: Mapping[str, Mapping] = HOUSEHOLD_SETTINGS,
     label: str = "energy_consumption",
-    parallelism: int = 1,
+    parallelism: int = FITS_AT_ONCE,
 ) -> FittedModels:
     """Household models on clean readings (training rows only)."""
     check_categories(train)
